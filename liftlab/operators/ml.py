@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftlab import session
@@ -62,6 +62,12 @@ def feature_stages(categories: Sequence[str], numbers: Sequence[str]) -> Pipelin
     return Pipeline(stages=[index, one_hot, vector])
 
 
+def is_test(label: str, key: str, test_share: float, seed: int) -> Column:
+    text = F.concat_ws(":", F.lit(str(seed)), F.col(label).cast("string"), F.col(key).cast("string"))
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return bucket < F.lit(int(test_share * (1 << 32)))
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2,
                      seed: int = 42) -> DataFrame:
     """Adds ``is_test``: a hash of (seed, label, key) under a threshold.
@@ -69,9 +75,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.
     Map-only and stable under re-runs and re-partitioning. Each label gets the share in
     expectation, which at scale is the share itself.
     """
-    text = F.concat_ws(":", F.lit(str(seed)), F.col(label).cast("string"), F.col(key).cast("string"))
-    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    return df.withColumn("is_test", bucket < F.lit(int(test_share * (1 << 32))))
+    return df.withColumn("is_test", is_test(label, key, test_share, seed))
 
 
 @dataclass
@@ -81,6 +85,7 @@ class Propensity:
     features: PipelineModel
     models: dict[str, GBTClassificationModel]
     holdout: DataFrame | None = None
+    n_train: Mapping[str, int] | None = None
 
 
 def vectors(features: DataFrame, products: Sequence[str]) -> tuple[PipelineModel, DataFrame]:
@@ -112,9 +117,12 @@ def fit_all(features: DataFrame, products: Sequence[str], config: TrainConfig =
                 F.lit(product).alias("product"), "user_id", "score", F.col(label).alias("label"))
             holdout = scored if holdout is None else holdout.unionByName(scored)
         holdout = session.written(holdout, "holdout")
+        counts = data.agg(*[
+            F.count_if(~is_test(label, "user_id", config.test_share, config.seed)).alias(p)
+            for p, label in zip(products, labels)]).first()
     finally:
         data.unpersist()
-    return Propensity(stages, models, holdout)
+    return Propensity(stages, models, holdout, counts.asDict())
 
 
 def _probability(model: GBTClassificationModel, df: DataFrame, name: str) -> DataFrame:
@@ -141,13 +149,12 @@ def holdout_metrics(propensity: Propensity, threshold: float = 0.5) -> DataFrame
     )
 
 
-def record_run(path: str, results: DataFrame, config: TrainConfig, version: int,
-               n_train: Mapping[str, int] | None = None) -> None:
-    """Append one row per product to the run log."""
+def record_run(path: str, propensity: Propensity, config: TrainConfig, version: int) -> None:
+    """Measure on the holdout and append one row per product to the run log."""
     trained = F.lit(None).cast("long")
-    for product, rows in (n_train or {}).items():
-        trained = F.when(F.col("product") == product, F.lit(rows)).otherwise(trained)
-    results.select(
+    for product, rows in (propensity.n_train or {}).items():
+        trained = F.when(F.col("product") == product, F.lit(rows).cast("long")).otherwise(trained)
+    holdout_metrics(propensity).select(
         "product", F.lit(version).alias("version"), F.lit(config.trees).alias("trees"),
         F.lit(config.depth).alias("depth"), trained.alias("n_train"), "roc_auc", "avg_precision",
         "accuracy", "base_rate", F.lit(dt.datetime.now(dt.timezone.utc)).alias("finished_at"),
