@@ -24,58 +24,51 @@ TOTALS = ("events_total", "trades_total", "logins_total", "deposit_total_usd", "
           "active_days")
 
 
-def _pre() -> Column:
-    return ~F.col("is_post_launch")
+_PRE = "NOT is_post_launch"
 
 
-def _adopting(settings: Settings) -> Column:
+def _adopting(settings: Settings) -> str:
     """A trade after launch, inside the adoption window if there is one."""
-    condition = F.col("is_post_launch") & (F.col("event_type") == "trade")
+    condition = "is_post_launch AND event_type = 'trade'"
     if settings.post_window_days is not None:
-        end = timing.days_after(timing.instant(settings.launch), settings.post_window_days)
-        condition = condition & (F.col("event_ts") < end)
+        end = f"TIMESTAMP_NTZ'{settings.launch}' + INTERVAL '{settings.post_window_days}' DAY"
+        condition += f" AND event_ts < {end}"
     return condition
 
 
 def _total_columns() -> list[Column]:
-    pre = _pre()
-    kind = F.col("event_type")
+    deposit = F.expr(f"CASE WHEN {_PRE} AND event_type = 'deposit' THEN amount_usd END")
     return [
-        F.count_if(pre).alias("events_total"),
-        F.count_if(pre & (kind == "trade")).alias("trades_total"),
-        F.count_if(pre & (kind == "login")).alias("logins_total"),
-        F.coalesce(numeric.money_sum(F.when(pre & (kind == "deposit"), F.col("amount_usd"))),
-                   F.lit(0.0)).alias("deposit_total_usd"),
-        F.countDistinct(F.when(pre, F.col("session_id"))).alias("sessions_total"),
-        F.countDistinct(F.when(pre, F.to_date("event_ts"))).alias("active_days"),
-        F.max(F.when(pre, F.col("event_ts"))).alias("last_activity_ts"),
+        F.expr(f"count_if({_PRE}) AS events_total"),
+        F.expr(f"count_if({_PRE} AND event_type = 'trade') AS trades_total"),
+        F.expr(f"count_if({_PRE} AND event_type = 'login') AS logins_total"),
+        F.coalesce(numeric.money_sum(deposit), F.lit(0.0)).alias("deposit_total_usd"),
+        F.expr(f"count(DISTINCT CASE WHEN {_PRE} THEN session_id END) AS sessions_total"),
+        F.expr(f"count(DISTINCT CASE WHEN {_PRE} THEN CAST(event_ts AS DATE) END) AS active_days"),
+        F.expr(f"max(CASE WHEN {_PRE} THEN event_ts END) AS last_activity_ts"),
     ]
 
 
 def _affinity_columns(products: Sequence[str]) -> list[Column]:
-    return [F.count_if(_pre() & (F.col("product") == p)).alias(f"pre_{p}_interactions")
-            for p in products]
+    return [F.expr(f"count_if({_PRE} AND product = '{p}') AS pre_{p}_interactions") for p in products]
 
 
 def _label_columns(settings: Settings) -> list[Column]:
     bought = _adopting(settings)
-    labels = []
-    for p in settings.products:
-        label = F.max(F.when(bought & (F.col("product") == p), 1).otherwise(0))
-        if settings.labels_require_pre_activity:
-            label = F.when(F.count_if(_pre()) > 0, label).otherwise(0)
-        labels.append(label.alias(f"adopted_{p}"))
-    return labels
+    seen = f"count_if({_PRE}) > 0" if settings.labels_require_pre_activity else "true"
+    return [
+        F.expr(f"IF({seen}, max(IF({bought} AND product = '{p}', 1, 0)), 0) AS adopted_{p}")
+        for p in settings.products]
 
 
 def behavior(events: DataFrame) -> DataFrame:
     """Totals before launch; users without such events are absent."""
-    return events.where(_pre()).groupBy("user_id").agg(*_total_columns())
+    return events.where(_PRE).groupBy("user_id").agg(*_total_columns())
 
 
 def affinity(events: DataFrame, products: Sequence[str]) -> DataFrame:
     """Interactions of any type before launch, per product."""
-    return events.where(_pre()).groupBy("user_id").agg(*_affinity_columns(products))
+    return events.where(_PRE).groupBy("user_id").agg(*_affinity_columns(products))
 
 
 def labels(events: DataFrame, settings: Settings) -> DataFrame:
@@ -85,7 +78,8 @@ def labels(events: DataFrame, settings: Settings) -> DataFrame:
 
 def activity(events: DataFrame, settings: Settings) -> DataFrame:
     """Totals, affinity and labels together, from one scan of the events."""
-    needed = _pre() | (_adopting(settings) & F.col("product").isin(*settings.products))
+    products = ", ".join(f"'{p}'" for p in settings.products)
+    needed = f"({_PRE}) OR ({_adopting(settings)} AND product IN ({products}))"
     return events.where(needed).groupBy("user_id").agg(
         *_total_columns(), *_affinity_columns(settings.products), *_label_columns(settings))
 

@@ -44,3 +44,5 @@ class Settings:
         dt.date.fromisoformat(self.launch)
         if not self.products or len(set(self.products)) != len(self.products):
             raise ValueError("products must be a non-empty list of distinct codes")
+        if not all(p.isidentifier() for p in self.products):
+            raise ValueError("product codes name columns, so they must be identifiers")

@@ -6,85 +6,69 @@ Only column derivations: every role covers its whole table.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftlab.functions import timing
 from liftlab.operators import silver
 from liftlab.settings import CATALOG, CATALOG_SCHEMA, Settings
 from liftlab.sources import files
 
 SETTINGS = Settings(launch="2024-01-21")
 
-# How event types and enumerations are read from the given tables.
-EVENT_TYPES = {"click": "login", "view": "view_product", "purchase": "trade",
-               "signup": "deposit", "error": "feature_interaction"}
-AGE_BANDS = ["18-25", "26-35", "36-50", "51-65", "65+"]
-RISK_PROFILES = ["conservative", "moderate", "aggressive"]
-TIER_BANDS = [("bronze", 2000), ("silver", 5000), ("gold", 8000)]
-PRODUCT_BANDS = [("crypto", 20), ("options", 40), ("agentic", 60), ("equities", 80), ("etf", 100)]
+# Schemas of the given tables. A known schema saves one inference job per read.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_ts", "event_type", "product", "amount_usd", "session_id"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _banded(col: Column, bands: list[tuple[str, int]], top: str | None = None) -> Column:
-    result = F.lit(top)
-    for name, limit in reversed(bands):
-        result = F.when(col < limit, F.lit(name)).otherwise(result)
-    return result
-
-
-def _one_of(index: Column, names: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
-
-
-def _hash32(*parts: Column) -> Column:
-    """The first 32 bits of an md5, a value that any SQL engine can reproduce."""
-    return F.conv(F.substring(F.md5(F.concat(*[p.cast("string") for p in parts])), 1, 8), 16, 10).cast("long")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer with its region. nation and region are sized by Catalyst, not hinted."""
-    nation = load(spark, sf_dir, "nation").join(
-        load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    key = F.col("c_custkey")
+    region = load(spark, sf_dir, "region")
+    nation = load(spark, sf_dir, "nation").join(region, F.expr("n_regionkey = r_regionkey"))
     return load(spark, sf_dir, "customer").join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-        key.alias("user_id"),
-        F.date_add(F.lit("2023-01-01").cast("date"), (key * 37 % 360).cast("int")).alias("signup_date"),
-        _banded(F.col("c_acctbal"), TIER_BANDS, "platinum").alias("tier"),
-        F.col("r_name").alias("region"),
-        _one_of(key % 5, AGE_BANDS).alias("age_band"),
-        _one_of(key % 3, RISK_PROFILES).alias("risk_profile"),
-        F.when(key % 10 == 0, "pending").otherwise("verified").alias("kyc_status"),
-        F.col("c_acctbal").alias("account_balance_usd"),
-        F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        F.concat(F.lit("ACCT-"), (key + 1000000000).cast("string")).alias("account_ref"),
+        nation, F.expr("c_nationkey = n_nationkey"), "left").selectExpr(
+        "c_custkey AS user_id",
+        "date_add(DATE'2023-01-01', CAST(c_custkey * 37 % 360 AS INT)) AS signup_date",
+        "CASE WHEN c_acctbal < 2000 THEN 'bronze' WHEN c_acctbal < 5000 THEN 'silver' "
+        "WHEN c_acctbal < 8000 THEN 'gold' ELSE 'platinum' END AS tier",
+        "r_name AS region",
+        "elt(CAST(c_custkey % 5 AS INT) + 1, '18-25', '26-35', '36-50', '51-65', '65+') AS age_band",
+        "elt(CAST(c_custkey % 3 AS INT) + 1, 'conservative', 'moderate', 'aggressive') AS risk_profile",
+        "IF(c_custkey % 10 = 0, 'pending', 'verified') AS kyc_status",
+        "c_acctbal AS account_balance_usd",
+        "concat('user', c_custkey, '@example.com') AS email",
+        "concat('ACCT-', 1000000000 + c_custkey) AS account_ref",
     )
 
 
 def _events_with_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind = reduce(lambda rest, pair: F.when(F.col("event_type") == pair[0], F.lit(pair[1])).otherwise(rest),
-                  EVENT_TYPES.items(), F.lit(None).cast("string"))
-    on_product = F.col("kind").isin("view_product", "trade", "feature_interaction")
-    return (
-        load(spark, sf_dir, "events").select(
-            "event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("event_ts"),
-            kind.alias("kind"), "value", k.alias("k"))
-        .select(
-            "event_id", "user_id", "event_ts", F.col("kind").alias("event_type"),
-            F.when(on_product, _banded(F.col("k"), PRODUCT_BANDS)).alias("product"),
-            F.when(F.col("kind").isin("trade", "deposit"), F.col("value")).alias("amount_usd"),
-            F.concat(F.lit("S"), F.col("user_id").cast("string"), F.lit("-"),
-                     (F.col("k") % 20).cast("string")).alias("session_id"),
-            "k")
+    """events with the business names, and the number k that their props carry."""
+    return load(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id", "ts AS event_ts",
+        "CASE event_type WHEN 'click' THEN 'login' WHEN 'view' THEN 'view_product' "
+        "WHEN 'purchase' THEN 'trade' WHEN 'signup' THEN 'deposit' "
+        "WHEN 'error' THEN 'feature_interaction' END AS event_type",
+        "value", "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    ).selectExpr(
+        "event_id", "user_id", "event_ts", "event_type",
+        "CASE WHEN event_type IN ('view_product', 'trade', 'feature_interaction') THEN "
+        "CASE WHEN k < 20 THEN 'crypto' WHEN k < 40 THEN 'options' WHEN k < 60 THEN 'agentic' "
+        "WHEN k < 80 THEN 'equities' ELSE 'etf' END END AS product",
+        "CASE WHEN event_type IN ('trade', 'deposit') THEN value END AS amount_usd",
+        "concat('S', user_id, '-', k % 20) AS session_id", "k",
     )
 
 
@@ -97,72 +81,59 @@ def events(spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> D
     return silver.flag_launch(clean_events(spark, sf_dir), settings.launch)
 
 
-def _text_time(col: Column) -> Column:
-    return F.substring(col.cast("string"), 1, 19)
-
-
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as landing text: seconds, and amounts with two decimals."""
-    return clean_events(spark, sf_dir).withColumns({
-        "event_ts": _text_time(F.col("event_ts")),
-        "amount_usd": F.col("amount_usd").cast("decimal(18,2)").cast("string")})
+    return clean_events(spark, sf_dir).selectExpr(
+        "event_id", "user_id", "substring(CAST(event_ts AS STRING), 1, 19) AS event_ts", "event_type",
+        "product", "CAST(CAST(amount_usd AS DECIMAL(18,2)) AS STRING) AS amount_usd", "session_id")
 
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A faulty delivery made of all events: missing ids, unreadable times and amounts; and a
     second delivery of all trades with a corrected amount."""
-    source = _events_with_k(spark, sf_dir)
-    amount = F.col("amount_usd").cast("decimal(18,2)")
-    faulty = source.withColumns({
-        "user_id": F.when(F.col("k") != 0, F.col("user_id")),
-        "event_id": F.when(F.col("k") != 1, F.col("event_id")),
-        "event_ts": F.when(F.col("k") == 2, "not-a-time").otherwise(_text_time(F.col("event_ts"))),
-    })
-    first = faulty.withColumns({
-        "amount_usd": F.when(F.col("k") == 3, "n/a").otherwise(amount.cast("string")),
-        "ingest_seq": F.lit(0)})
-    second = faulty.where(F.col("event_type") == "trade").withColumns({
-        "amount_usd": (amount + F.lit(1).cast("decimal(18,2)")).cast("string"),
-        "ingest_seq": F.lit(1)})
-    return first.unionByName(second).drop("k")
+    faulty = _events_with_k(spark, sf_dir).selectExpr(
+        "IF(k <> 1, event_id, NULL) AS event_id", "IF(k <> 0, user_id, NULL) AS user_id",
+        "IF(k = 2, 'not-a-time', substring(CAST(event_ts AS STRING), 1, 19)) AS event_ts",
+        "event_type", "product", "CAST(amount_usd AS DECIMAL(18,2)) AS amount", "session_id", "k")
+    rest = ["event_id", "user_id", "event_ts", "event_type", "product"]
+    first = faulty.selectExpr(
+        *rest, "IF(k = 3, 'n/a', CAST(amount AS STRING)) AS amount_usd", "session_id", "0 AS ingest_seq")
+    second = faulty.where("event_type = 'trade'").selectExpr(
+        *rest, "CAST(amount + 1.00 AS STRING) AS amount_usd", "session_id", "1 AS ingest_seq")
+    return first.unionByName(second)
 
 
 def bronze_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All users once, and those of one market segment again with a higher balance."""
-    first = users(spark, sf_dir).withColumn("ingest_seq", F.lit(0))
-    again = load(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY'").select(
-        F.col("c_custkey").alias("user_id"))
-    second = users(spark, sf_dir).join(again, "user_id", "left_semi").withColumns({
-        "account_balance_usd": F.col("account_balance_usd") + 100,
-        "ingest_seq": F.lit(1)})
-    return first.unionByName(second)
-
-
-def assignments(spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> DataFrame:
+    segment = load(spark, sf_dir, "customer").selectExpr("c_custkey AS user_id", "c_mktsegment")
+    again = users(spark, sf_dir).join(
+        segment.where("c_mktsegment = 'MACHINERY'"), "user_id", "left_semi")
+    return users(spark, sf_dir).withColumn("ingest_seq", F.lit(0)).unionByName(
+        again.withColumns({"account_balance_usd": F.expr("account_balance_usd + 100"),
+                           "ingest_seq": F.lit(1)}))
+
+
+def _all_assignments(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame:
+    products = ", ".join(f"'{p}'" for p in settings.products)
+    return load(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS user_id", "c_mktsegment", f"explode(array({products})) AS product",
+    ).selectExpr(
+        "concat(product, '_launch') AS experiment_id", "product", "user_id",
+        f"IF({_hash32('product', _quoted(':'), 'user_id')} % 2 = 0, 'control', 'treatment') AS variant",
+        "TIMESTAMP_NTZ'2024-01-11' + make_dt_interval(CAST(user_id % 10 AS INT)) AS assigned_ts",
+        "c_mktsegment")
+
+
+def silver_assignments(spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> DataFrame:
     """Every customer in every experiment, variant by a hash; long form."""
-    key = F.col("c_custkey")
-    return load(spark, sf_dir, "customer").select(
-        key.alias("user_id"), "c_mktsegment",
-        F.explode(F.array(*[F.lit(p) for p in settings.products])).alias("product"),
-    ).select(
-        F.concat("product", F.lit("_launch")).alias("experiment_id"), "product", "user_id",
-        F.when(_hash32(F.col("product"), F.lit(":"), F.col("user_id")) % 2 == 0, "control")
-        .otherwise("treatment").alias("variant"),
-        timing.days_after(timing.instant("2024-01-11"), (F.col("user_id") % 10).cast("int"))
-        .alias("assigned_ts"),
-        "c_mktsegment",
-    )
-
-
-def silver_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assignments(spark, sf_dir).drop("c_mktsegment")
+    return _all_assignments(spark, sf_dir, settings).drop("c_mktsegment")
 
 
-def bronze_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_assignments(spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> DataFrame:
     """All assignments, and those of one market segment again with the variant swapped."""
-    first = assignments(spark, sf_dir)
-    other = F.when(F.col("variant") == "control", "treatment").otherwise("control")
-    second = first.where("c_mktsegment = 'BUILDING'").withColumn("variant", other)
+    first = _all_assignments(spark, sf_dir, settings)
+    second = first.where("c_mktsegment = 'BUILDING'").withColumn(
+        "variant", F.expr("IF(variant = 'control', 'treatment', 'control')"))
     return (first.withColumn("ingest_seq", F.lit(0))
             .unionByName(second.withColumn("ingest_seq", F.lit(1))).drop("c_mktsegment"))
 
@@ -171,11 +142,19 @@ def catalog(spark: SparkSession) -> DataFrame:
     return files.from_rows(spark, CATALOG, CATALOG_SCHEMA)
 
 
+def _quoted(text: str) -> str:
+    return f"'{text}'"
+
+
+def _hash32(*parts: str) -> str:
+    """The first 32 bits of an md5, a value that any SQL engine can reproduce."""
+    return f"CAST(conv(substring(md5(concat({', '.join(parts)})), 1, 8), 16, 10) AS BIGINT)"
+
+
 def closed_form_scores(features: DataFrame, settings: Settings = SETTINGS, salt: str = "prob",
                        keep: Sequence[str] = ("user_id",)) -> DataFrame:
     """prob_{p} without a model: a hash raised by affinity. One division, so exact anywhere."""
-    return features.select(*keep, *[
-        ((_hash32(F.lit(f"{salt}:{p}:"), F.col("user_id")) % 1000 + F.col(f"pre_{p}_interactions") * 10)
-         / (F.col("events_total") * 10 + 1000)).alias(f"prob_{p}")
-        for p in settings.products
-    ])
+    return features.selectExpr(*keep, *[
+        f"({_hash32(_quoted(f'{salt}:{p}:'), 'user_id')} % 1000 + 10 * pre_{p}_interactions)"
+        f" / (1000 + 10 * events_total) AS prob_{p}"
+        for p in settings.products])
