@@ -1,9 +1,11 @@
 """One row per user: behaviour before launch, adoption after launch, experiment variants.
 
-Everything that comes from events is one conditional aggregation over one scan. The two
-distinct counts make Catalyst aggregate in two steps, first by (user, session or day) and then
-by user, both with map-side combine: a user who holds a third of all events is spread over
-many tasks in the first step and reduced to partial rows before the second.
+Counts, sums, labels and active days come from one conditional aggregation. Its one distinct
+count makes Catalyst aggregate in two steps, by (user, day) and then by user, both with map-side
+combine: a user who holds a third of all events is spread over many tasks in the first step and
+reduced to partial rows before the second. Sessions are counted the same way in a scan of two
+columns. Two distinct counts in one aggregation would instead triple every event (an Expand);
+on 20 million events that took twice as long as the second, narrow scan.
 """
 
 from __future__ import annotations
@@ -43,7 +45,6 @@ def _total_columns() -> list[Column]:
         F.expr(f"count_if({_PRE} AND event_type = 'trade') AS trades_total"),
         F.expr(f"count_if({_PRE} AND event_type = 'login') AS logins_total"),
         F.coalesce(numeric.money_sum(deposit), F.lit(0.0)).alias("deposit_total_usd"),
-        F.expr(f"count(DISTINCT CASE WHEN {_PRE} THEN session_id END) AS sessions_total"),
         F.expr(f"count(DISTINCT CASE WHEN {_PRE} THEN CAST(event_ts AS DATE) END) AS active_days"),
         F.expr(f"max(CASE WHEN {_PRE} THEN event_ts END) AS last_activity_ts"),
     ]
@@ -61,9 +62,16 @@ def _label_columns(settings: Settings) -> list[Column]:
         for p in settings.products]
 
 
+def _with_sessions(per_user: DataFrame, events: DataFrame) -> DataFrame:
+    """Adds the distinct sessions before launch; both sides are unique and hashed by user_id."""
+    sessions = events.where(_PRE).groupBy("user_id").agg(
+        F.countDistinct("session_id").alias("sessions_total"))
+    return fill_zero(per_user.join(sessions, "user_id", "left"), ["sessions_total"])
+
+
 def behavior(events: DataFrame) -> DataFrame:
     """Totals before launch; users without such events are absent."""
-    return events.where(_PRE).groupBy("user_id").agg(*_total_columns())
+    return _with_sessions(events.where(_PRE).groupBy("user_id").agg(*_total_columns()), events)
 
 
 def affinity(events: DataFrame, products: Sequence[str]) -> DataFrame:
@@ -77,11 +85,12 @@ def labels(events: DataFrame, settings: Settings) -> DataFrame:
 
 
 def activity(events: DataFrame, settings: Settings) -> DataFrame:
-    """Totals, affinity and labels together, from one scan of the events."""
+    """Totals, affinity and labels together."""
     products = ", ".join(f"'{p}'" for p in settings.products)
     needed = f"({_PRE}) OR ({_adopting(settings)} AND product IN ({products}))"
-    return events.where(needed).groupBy("user_id").agg(
+    per_user = events.where(needed).groupBy("user_id").agg(
         *_total_columns(), *_affinity_columns(settings.products), *_label_columns(settings))
+    return _with_sessions(per_user, events)
 
 
 def tenure(users: DataFrame, launch: str) -> DataFrame:

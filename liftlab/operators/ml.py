@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -108,23 +109,37 @@ def fit_all(features: DataFrame, products: Sequence[str], config: TrainConfig =
     stages, assembled = vectors(features, products)
     labels = [f"adopted_{p}" for p in products]
     data = assembled.select("user_id", "features", *labels).persist(StorageLevel.MEMORY_AND_DISK)
-    models, holdout = {}, None
+
+    def train(label: str) -> GBTClassificationModel:
+        split = stratified_split(data, label, "user_id", config.test_share, config.seed)
+        return fit_one(split.where("NOT is_test"), label, config)
+
     try:
-        for product, label in zip(products, labels):
-            marked = stratified_split(data, label, "user_id", config.test_share, config.seed)
-            models[product] = fit_one(marked.where("NOT is_test"), label, config)
-            scored = _probability(models[product], marked.where("is_test"), "score").select(
-                F.lit(product).alias("product"), "user_id", "score", F.col(label).alias("label"))
-            holdout = scored if holdout is None else holdout.unionByName(scored)
-        holdout = session.written(holdout, "holdout")
+        # Counted first, which also fills the cache before the models share it.
         counts = data.agg(*[
             F.count_if(~is_test(label, "user_id", config.test_share, config.seed)).alias(p)
             for p, label in zip(products, labels)]).first()
+        # Boosting is a chain of small jobs; the products' chains run side by side.
+        with ThreadPool(len(products)) as pool:
+            models = dict(zip(products, pool.map(inheritable_thread_target(spark)(train), labels)))
+        holdout = session.written(_holdout(models, data, config), "holdout")
     finally:
         data.unpersist()
     return Propensity(stages, models, holdout, counts.asDict())
 
 
+def _holdout(models: Mapping[str, GBTClassificationModel], data: DataFrame, config: TrainConfig) -> DataFrame:
+    """(product, user_id, score, label) of the rows that a product's model has not seen."""
+    result = None
+    for product, model in models.items():
+        label = f"adopted_{product}"
+        held = stratified_split(data, label, "user_id", config.test_share, config.seed).where("is_test")
+        scored = _probability(model, held, "score").select(
+            F.lit(product).alias("product"), "user_id", "score", F.col(label).alias("label"))
+        result = scored if result is None else result.unionByName(scored)
+    return result
+
+
 def _probability(model: GBTClassificationModel, df: DataFrame, name: str) -> DataFrame:
     scored = model.transform(df)
     return (scored.withColumn(name, vector_to_array("probability")[1])

@@ -101,11 +101,13 @@ def test_parts_agree_with_the_single_pass(spark):
     assert rows(whole.where("events_total > 0").select(*totals.columns)) == rows(totals)
 
 
-def test_one_scan_and_two_event_shuffles(spark, sf):
+def test_no_event_is_multiplied(spark, sf):
+    """One wide scan, one narrow scan for the sessions, and no Expand."""
     from liftlab.sources import roles
     df = features.activity(roles.events(spark, sf), LAUNCH)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 2
+    assert plan.count("FileScan") == 2 and "Expand" not in plan
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,props:string>" in plan
 
 
 def test_hot_user_is_spread_by_session_before_it_is_reduced(spark):
