@@ -20,6 +20,16 @@ def money_sum(col: Column) -> Column:
     return F.sum(cents) / F.lit(100.0)
 
 
+def exact_sum(col: Column, steps: float = 1e9) -> Column:
+    """Sum of doubles in fixed steps: the same on every partitioning, unlike a double sum."""
+    return F.sum(F.floor(col * F.lit(steps) + F.lit(0.5)).cast("decimal(20,0)")).cast("double") / F.lit(steps)
+
+
+def mean(col: Column, digits: int) -> Column:
+    """Rounded average of an order-independent sum; a tie cannot tip with the row order."""
+    return round_half_up(exact_sum(col) / F.count(col), digits)
+
+
 def no_nan(col: Column) -> Column:
     """NaN as NULL: comparisons and exports must not see NaN as the largest number."""
     return F.when(~F.isnan(col), col)

@@ -17,7 +17,8 @@ def latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> D
     Catalyst puts a partial group limit before the shuffle: a key that was delivered a
     billion times leaves each map task as one row.
     """
-    ties = [c for c in df.columns if c not in keys and c not in newest_first]
+    ties = [f.name for f in df.schema.fields if f.name not in keys and f.name not in newest_first
+            and "map<" not in f.dataType.simpleString()]  # maps have no order
     order = [F.col(c).desc_nulls_last() for c in [*newest_first, *ties]]
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(window)).where(F.col(_RN) == 1).drop(_RN)

@@ -70,7 +70,7 @@ def lift(experiment_results: DataFrame) -> DataFrame:
 
 
 def average_lift(lifts: DataFrame) -> DataFrame:
-    return lifts.agg(numeric.round_half_up(F.avg("lift_pp"), 4).alias("avg_lift_pp"))
+    return lifts.agg(numeric.mean(F.col("lift_pp"), 4).alias("avg_lift_pp"))
 
 
 def best_variant(experiment_results: DataFrame) -> DataFrame:

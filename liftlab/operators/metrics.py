@@ -45,7 +45,7 @@ def ranking_metrics(df: DataFrame, score: str, label: str, by: Sequence[str] = (
         F.sum("pos").alias("_p"), F.sum("neg").alias("_q"),
         # negatives ranked above this score or, for one half, beside it
         F.sum(pos * (cum_neg - neg / 2)).alias("_above"),
-        F.sum(pos * (cum_pos / (cum_pos + cum_neg))).alias("_precision"),
+        numeric.exact_sum(pos * (cum_pos / (cum_pos + cum_neg))).alias("_precision"),
     )
     both = (F.col("_p") > 0) & (F.col("_q") > 0)
     pairs = F.col("_p").cast("double") * F.col("_q").cast("double")

@@ -85,9 +85,9 @@ def assemble(recs: DataFrame, generator: Generator, k: int = 750, brand: str = "
              parallel_calls: int = 8, key: str = "user_id") -> DataFrame:
     """Recommendations with label, text and source of the text.
 
-    Only the k best users reach the generator, spread over ``parallel_calls`` tasks. Its k
-    texts are joined back to all users; they are broadcast while k is small. A user for whom
-    the generator returned nothing gets the template, and the source says so.
+    Only the k best users reach the generator, spread over ``parallel_calls`` tasks. Its texts
+    are joined back by the unique key: broadcast while k is small, else as Catalyst decides. A
+    user for whom the generator returned nothing gets the template, and the source says so.
     """
     best = targeting.top_users(recs, k)
     texts = generate(prompt(best, brand).select(key, "prompt").repartition(parallel_calls), generator, key)

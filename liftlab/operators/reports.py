@@ -21,7 +21,7 @@ def _users() -> Column:
 def mix(recs: DataFrame) -> DataFrame:
     """Users, average score and value per recommended product, highest value first."""
     return recs.groupBy("recommended_product").agg(
-        _users(), numeric.round_half_up(F.avg("propensity_score"), 3).alias("avg_score"),
+        _users(), numeric.mean(F.col("propensity_score"), 3).alias("avg_score"),
         numeric.round_half_up(_value()).alias("exp_value")).orderBy(F.desc("exp_value"), "recommended_product")
 
 
@@ -67,7 +67,7 @@ def nudge_split(nudged: DataFrame) -> DataFrame:
 def cohort_propensity(recs: DataFrame, dims: Sequence[str], product: str) -> DataFrame:
     """Average propensity for one product per cohort, best cohort first."""
     return recs.groupBy(*dims).agg(
-        _users(), numeric.round_half_up(F.avg(f"prob_{product}"), 4).alias("avg_propensity"),
+        _users(), numeric.mean(F.col(f"prob_{product}"), 4).alias("avg_propensity"),
     ).orderBy(F.desc("avg_propensity"), *dims)
 
 
@@ -109,6 +109,6 @@ def kpis(product_mix: DataFrame, lifts: DataFrame) -> DataFrame:
     offer_rows = offers.select(F.inline(F.array(
         shown("Users scored", F.col("users")), shown("Expected annual value", F.col("value")),
         shown("Top product", F.col("best")))))
-    average = F.format_string("%+.1f pp", numeric.round_half_up(F.avg("lift_pp"), 1))
+    average = F.format_string("%+.1f pp", numeric.mean(F.col("lift_pp"), 1))
     return offer_rows.unionByName(lifts.agg(average.alias("value")).select(
         F.lit("Average lift").alias("kpi"), "value"))

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from liftlab.functions import numeric
 from liftlab.operators import rank
 
-# A top-k goes through one task and the driver; beyond this many rows a distributed rank is used.
-TOP_K_IN_ONE_TASK = 100_000
+# A top-k sends k rows of every partition to one task. Beyond this k a distributed rank is used.
+TOP_K_IN_ONE_TASK = 1_000
 
 
 def _best_first(df: DataFrame, score: str, key: str, k: int) -> DataFrame:

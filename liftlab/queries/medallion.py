@@ -156,7 +156,7 @@ def lift_table(spark, sf):
     return experiments.lift_table(inputs.results(spark, sf))
 
 
-@query("avg_lift", sql.select(sql.LIFTS, f"select {sql.half_up('avg(lift_pp)', 4)} as avg_lift_pp from lifts"))
+@query("avg_lift", sql.select(sql.LIFTS, f"select {sql.mean('lift_pp', 4)} as avg_lift_pp from lifts"))
 def avg_lift(spark, sf):
     return experiments.average_lift(experiments.lift(inputs.results(spark, sf)))
 

@@ -31,19 +31,14 @@ def first_come_rank(spark, sf):
     return rank.global_rank(counts, "events_total", "user_id", ascending=True, name="first_come_rank")
 
 
-@query("targeting_decile", sql.select(sql.SCORES, """
-select user_id, product, score, cast(10 - greatest((10 * (r - 1) + n - 2) // (n - 1) - 1, 0) as int)
- as targeting_decile
-from (select *, row_number() over (order by score, key) as r, count(*) over () as n from (
- select user_id, 'crypto' as product, prob_crypto as score, 'crypto:' || user_id as key from scores
- union all select user_id, 'options', prob_options, 'options:' || user_id from scores
- union all select user_id, 'agentic', prob_agentic, 'agentic:' || user_id from scores)
- where score > 0.1)"""))
+@query("targeting_decile", sql.select(sql.EVENTS, """
+select event_id, amount_usd, cast(10 - greatest((10 * (r - 1) + n - 2) // (n - 1) - 1, 0) as int) as amount_decile
+from (select event_id, amount_usd, row_number() over (order by amount_usd, event_id) as r, count(*) over () as n
+      from ev where amount_usd is not null)"""))
 def targeting_decile(spark, sf):
-    # every (user, product) pair with a score worth targeting; their number is no multiple of ten
-    pairs = inputs.scored_labels(spark, sf).where("score > 0.1").select(
-        "user_id", "product", "score", F.concat_ws(":", "product", "user_id").alias("key"))
-    return rank.quantile_cut(pairs, "score", "key").drop("key")
+    # all amounts, with many ties; their number is no multiple of ten, where ntile() would differ
+    amounts = roles.events(spark, sf).where("amount_usd IS NOT NULL").select("event_id", "amount_usd")
+    return rank.quantile_cut(amounts, "amount_usd", "event_id", name="amount_decile")
 
 
 @query("top_users", sql.select(sql.PICKED, """
@@ -115,7 +110,7 @@ def scorecard(spark, sf):
 
 
 # ---------------------------------------------------------------- reports
-_MIX = f"""mix as (select recommended_product, count(*) as users, {sql.half_up('avg(propensity_score)', 3)} as avg_score,
+_MIX = f"""mix as (select recommended_product, count(*) as users, {sql.mean('propensity_score', 3)} as avg_score,
  floor({sql.money('expected_annual_value_usd')} + 0.5::double) as exp_value from valued group by recommended_product)"""
 
 
@@ -157,7 +152,7 @@ def nudge_split(spark, sf):
 
 
 @query("cohort_propensity", sql.select(sql.SCORES, f"""
-select tier, age_band, count(*) as users, {sql.half_up('avg(prob_crypto)', 4)} as avg_propensity
+select tier, age_band, count(*) as users, {sql.mean('prob_crypto', 4)} as avg_propensity
 from scores group by tier, age_band"""))
 def cohort_propensity(spark, sf):
     return reports.cohort_propensity(inputs.scored(spark, sf), ["tier", "age_band"], "crypto")
@@ -169,7 +164,7 @@ _LIFTS_ONLY = sql.LIFTS[len(sql.FEATURES):]
 
 @query("formatted_kpis", sql.select(f"{sql.VALUED}{_LIFTS_ONLY}, {_MIX}", f"""
 select 'Users scored' as kpi, format('{{:,}}', cast(sum(users) as bigint)) as value from mix
-union all select 'Average lift', printf('%+.1f pp', {sql.half_up('avg(lift_pp)', 1)}) from lifts
+union all select 'Average lift', printf('%+.1f pp', {sql.mean('lift_pp', 1)}) from lifts
 union all select 'Expected annual value', '$' || format('{{:,}}',
  cast(floor(sum(exp_value) / 1000.0::double + 0.5::double) as bigint)) || 'K' from mix
 union all (select 'Top product', upper(recommended_product[1]) || recommended_product[2:] from mix

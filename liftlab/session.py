@@ -19,6 +19,9 @@ def local_session(app: str = "liftlab", cores: int | str = "*", shuffle_partitio
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # keyed stream state on disk instead of in the heap
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -7,7 +7,7 @@ a run without new files adds nothing, and a run after a crash resumes where the
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +20,17 @@ from liftlab.sources import files
 
 @dataclass(frozen=True)
 class Feed:
-    """One landing folder and its bronze table."""
+    """One landing folder and its bronze table.
+
+    options go to the file source. ``maxFilesPerTrigger`` cuts a large backlog into several
+    micro-batches, so that a lost run repeats one of them and not everything.
+    """
 
     name: str
     fmt: str
     landing: str
     schema: str | StructType
+    options: Mapping[str, object] = field(default_factory=dict)
 
 
 def stamp(df: DataFrame) -> DataFrame:
@@ -34,10 +39,10 @@ def stamp(df: DataFrame) -> DataFrame:
         "_ingested_at": F.current_timestamp(), "_source_file": F.col("_metadata.file_path")})
 
 
-def open_feed(spark: SparkSession, feed: Feed, **options: object) -> DataFrame:
+def open_feed(spark: SparkSession, feed: Feed) -> DataFrame:
     readers: dict[str, Callable[..., DataFrame]] = {
         "csv": files.csv_stream, "json": files.json_stream, "parquet": files.parquet_stream}
-    return readers[feed.fmt](spark, feed.landing, feed.schema, **options)
+    return readers[feed.fmt](spark, feed.landing, feed.schema, **feed.options)
 
 
 def append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -47,10 +52,10 @@ def append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
             .trigger(availableNow=True).start())
 
 
-def to_bronze(spark: SparkSession, feed: Feed, base: str, rules: quality.Rules | None = None,
-              **options: object) -> StreamingQuery:
+def to_bronze(spark: SparkSession, feed: Feed, base: str,
+              rules: quality.Rules | None = None) -> StreamingQuery:
     """Ingest one feed. With rules, failed rows are dropped and counted in the query progress."""
-    stream = stamp(open_feed(spark, feed, **options))
+    stream = stamp(open_feed(spark, feed))
     if rules:
         stream = quality.expect_or_drop(quality.observe(stream, f"{feed.name}_rules", rules), rules)
     return append(stream, bronze_path(base, feed.name), f"{base}/checkpoints/{feed.name}")
