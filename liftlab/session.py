@@ -22,6 +22,8 @@ def local_session(app: str = "liftlab", cores: int | str = "*", shuffle_partitio
         # keyed stream state on disk instead of in the heap
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        # a hot user's events are merged to sessions before the shuffle
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -167,3 +167,28 @@ def test_sessions_equal_brute_force(spark, gap):
     got = [(int((r.session_start - start).total_seconds()), int((r.session_end - start).total_seconds()), r.events)
            for r in sessions.by_gap(df, gap).orderBy("session_no").collect()]
     assert got == [tuple(e) for e in expected]
+
+
+def test_hot_user_is_split_in_the_exposure_join(spark):
+    """AQE cuts the hot user's partition into pieces; result rows stay whole."""
+    events = silver.flag_launch(spark.range(60000).selectExpr(
+        "id AS event_id", "IF(id % 3 = 0, 'hot', concat('u', id)) AS user_id",
+        "TIMESTAMP_NTZ'2026-06-05 00:00:00' AS event_ts", "'trade' AS event_type", "'crypto' AS product",
+        "uuid() AS filler"), LAUNCH.launch)
+    assigned = spark.range(60000).selectExpr(
+        "'crypto' AS product", "IF(id = 0, 'hot', concat('u', id)) AS user_id", "'x' AS experiment_id",
+        "'control' AS variant", "TIMESTAMP_NTZ'2026-06-05 00:00:00' AS assigned_ts").where("id = 0 OR id % 3 <> 0")
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        joined = experiments.exposed_events(events, assigned, 7)
+        assert len(joined.collect()) == 60000
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

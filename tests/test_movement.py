@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from liftlab import Settings, session
@@ -140,3 +141,28 @@ def test_jdbc_key_is_no_clob(spark):
 def test_order_then_limit(spark, sf):
     users = roles.users(spark, sf)
     assert [r.user_id for r in users.orderBy("user_id").limit(5).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_backlog_is_cut_into_batches(spark, tmp_path):
+    feed = ingest.Feed("events", "json", f"{tmp_path}/landing", files.EVENTS, {"maxFilesPerTrigger": 1})
+    for i in range(3):
+        _land(spark, feed, [(i, 1, "2026-05-01 00:00:00", "login", None, None, "s")], files.EVENTS)
+    query = ingest.to_bronze(spark, feed, str(tmp_path))
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]
+    assert ingest.bronze(spark, str(tmp_path), feed).count() == 3
+
+
+def test_a_cluster_without_shared_folder_is_refused():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        session.scratch_root(Session())
