@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from liftlab.operators import experiments, features, privacy, silver, sinks
@@ -39,13 +42,23 @@ def refresh(spark: SparkSession, feeds: Feeds, base: str, settings: Settings) ->
     def bronze(feed: ingest.Feed) -> DataFrame:
         return ingest.bronze(spark, base, feed)
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        return sinks.replace(df, f"{base}/{name}")
+    def side_by_side(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+        """Write independent tables at the same time: one's stragglers leave cores to the others."""
+        @inheritable_thread_target(spark)
+        def write(item: tuple[str, DataFrame]) -> DataFrame:
+            return sinks.replace(item[1], f"{base}/{item[0]}")
 
-    users = keep(silver.users(bronze(feeds.users)), "silver/users")
-    events = keep(silver.events(bronze(feeds.events), settings.launch), "silver/events")
-    assignments = keep(silver.assignments(bronze(feeds.assignments)), "silver/assignments")
-    gold = keep(features.user_features(users, events, assignments, settings), "gold/user_features")
-    results = keep(experiments.results(gold, settings), "gold/experiment_results")
-    secure = keep(privacy.secure_view(users), "gold/users_secure")
+        with ThreadPool(len(tables)) as pool:
+            return pool.map(write, tables.items())
+
+    users, events, assignments = side_by_side({
+        "silver/users": silver.users(bronze(feeds.users)),
+        "silver/events": silver.events(bronze(feeds.events), settings.launch),
+        "silver/assignments": silver.assignments(bronze(feeds.assignments)),
+    })
+    gold, secure = side_by_side({
+        "gold/user_features": features.user_features(users, events, assignments, settings),
+        "gold/users_secure": privacy.secure_view(users),
+    })
+    results = sinks.replace(experiments.results(gold, settings), f"{base}/gold/experiment_results")
     return Layers(users, events, assignments, gold, results, secure)

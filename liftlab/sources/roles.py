@@ -55,13 +55,14 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events_with_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events with the business names, and the number k that their props carry."""
+    """events with the business names, and the number k that their props carry (one flat field,
+    for which a pattern is several times cheaper than a JSON parser)."""
     return load(spark, sf_dir, "events").selectExpr(
         "event_id", "user_id", "ts AS event_ts",
         "CASE event_type WHEN 'click' THEN 'login' WHEN 'view' THEN 'view_product' "
         "WHEN 'purchase' THEN 'trade' WHEN 'signup' THEN 'deposit' "
         "WHEN 'error' THEN 'feature_interaction' END AS event_type",
-        "value", "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "value", r"""CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INT) AS k""",
     ).selectExpr(
         "event_id", "user_id", "event_ts", "event_type",
         "CASE WHEN event_type IN ('view_product', 'trade', 'feature_interaction') THEN "
