@@ -36,10 +36,13 @@ def _order(df: DataFrame, score: str, key: str, ascending: bool) -> list[Column]
 
 
 def ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """``df`` with its range number and position, written once in that order."""
-    parts = session.shuffle_partitions(df.sparkSession)
+    """``df`` with its range number and position, written once in that order.
+
+    The number of ranges is left to Spark: AQE joins neighbouring small ones, which keeps the
+    order of the ranges.
+    """
     placed = (
-        df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn(_PART, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)))
     )
@@ -59,7 +62,7 @@ def _ranked(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     table = ranges(df, order)
     per_range = table.groupBy(_PART).agg(F.count(F.lit(1)).alias("rows"))
     everything = Window.partitionBy(F.lit(0))
-    # One row per range, so its size is bounded by the number of shuffle partitions.
+    # One row per range, so at most one per shuffle partition.
     offsets = (_offsets(per_range, ["rows"]).join(per_range, _PART)
                .withColumn("_n", F.sum("rows").over(everything)).drop("rows"))
     return (

@@ -17,9 +17,12 @@ ASSIGNMENTS = ("experiment_id STRING, product STRING, user_id BIGINT, variant ST
                "assigned_ts STRING")
 
 
-def infer_schema(spark: SparkSession, path: str, fmt: str) -> StructType:
-    """Typed inference over existing files, done once; streams then get a fixed schema."""
-    reader = spark.read.option("inferSchema", True)
+def infer_schema(spark: SparkSession, path: str, fmt: str, share: float = 1.0) -> StructType:
+    """Typed inference over existing files, done once; streams then get a fixed schema.
+
+    share: part of the rows to look at; data itself is always read whole.
+    """
+    reader = spark.read.options(inferSchema=True, samplingRatio=share)
     if fmt == "csv":
         return reader.option("header", True).csv(path).schema
     return reader.format(fmt).load(path).schema
