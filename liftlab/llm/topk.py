@@ -81,12 +81,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     Both sides are dealt to tiles by a hash of the id: a tile holds about ``TILE_QUERIES`` queries
     and ``TILE_VECTORS`` vectors of one length, selects its own best, and the lists are merged in a
     tree of ``FAN_IN``, so memory is bounded at any size and nothing is broadcast. Vectors of
-    another length than the query's take no part in its search. Rows that repeat an id and vector
-    count once; rows of the query's id are its own. Fewer candidates than ``k``: all of them; none:
-    no rows. Null ids take no part. Other columns are not read.
+    another length than the query's take no part in its search. Every row is a candidate of its own,
+    also one that repeats; rows of the query's id are its own and left out. Of several vectors under
+    one query id, the least is asked. Fewer candidates than ``k``: all of them; none: no rows. Null
+    ids take no part. Other columns are not read.
     """
-    base = vectors.dropDuplicates(["vec_id", "v"])
-    asked = queries.dropDuplicates(["vec_id", "v"])
+    base = vectors
+    asked = queries.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("n", F.size("v"))
     n, m = base.count(), asked.count()
     shards, blocks = max(1, -(-n // TILE_VECTORS)), max(1, -(-m // TILE_QUERIES))
     every = lambda number: F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
