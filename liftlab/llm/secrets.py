@@ -107,9 +107,9 @@ def report(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -
     base = F.filter(spans, lambda s: s["kind"] < 3)
     count = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
     none = F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean,owners:long,repositories:long>>")
-    held = scan(docs, owner, repository).select("row.doc_id", "spans", F.struct("row.*").alias("row"))
+    held = scan(docs, owner, repository).select("row.doc_id", "spans")
     free = _free(docs, owner, repository).select("doc_id", none.alias("spans"))
-    return held.select("doc_id", "spans").unionByName(free).select(
+    return held.unionByName(free).select(
         "doc_id", *[count(k).alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(_listed(base), 256).alias("base_sha256"), _listed(kept).alias("spans"),
         F.size(F.filter(kept, lambda s: s["live"])).cast("long").alias("n_live"),
