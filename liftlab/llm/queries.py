@@ -54,36 +54,31 @@ QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_toxicity, op3_substring_dedup, op4_packing, op5_simhash, op6_bpe,
     op7_line_dedup, op8_language, op9_fingerprints, op10_top_k)}
 
-_PIECES = """
-    list_transform(range(1, len(p) + 1), i -> struct_pack(
-        s := list_sum(list_transform(p[:i], x -> length(x))) + coalesce(list_sum(list_transform(m[:i - 1], x -> length(x))), 0),
-        w := m[i], v := v[i]))"""
-
 ORACLES = {
     "op3_substring_dedup": """
 with words as (
-    select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') as w
+    select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
     from documents),
 windows as (
-    select doc_id, i as at, array_to_string(w[i:i + 12], ' ') as win
+    select doc_id, i, array_to_string(w[i:i + 12], ' ') as win
     from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from words)),
 firsts as (select win, min(doc_id) as first_id from windows group by win),
 cut as (
-    select doc_id, list(distinct at + k) as gone
-    from (select doc_id, at, unnest(range(0, 13)) as k from windows join firsts using (win) where first_id < doc_id)
+    select doc_id, list(distinct p) as gone
+    from (select doc_id, i + unnest(range(0, 13)) as p from windows join firsts using (win) where first_id < doc_id)
     group by doc_id)
 select doc_id, len(w)::bigint as n_words, coalesce(len(gone), 0)::bigint as n_removed,
-       sha256(array_to_string(list_filter(w, (x, i) -> gone is null or not list_contains(gone, i)), ' ')) as kept_sha256
+       sha256(array_to_string(list_filter(w, lambda x, i: gone is null or not list_contains(gone, i)), ' ')) as kept_sha256
 from words left join cut using (doc_id)""",
     "op10_top_k": """
 with v as (
-    select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) as v
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
     from embeddings
     where vec_id is not null and embedding is not null
-      and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scored as (
     select q.vec_id as query_id, c.vec_id as vec_id,
-           list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i]))::bigint as score
+           list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
     from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
     where q.vec_id % 50 = 0),
 ranked as (

@@ -93,14 +93,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     every = lambda number: F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
     home = lambda number: F.pmod(F.xxhash64("vec_id"), F.lit(number)).cast("int")
     left = asked.select("vec_id", "v", "n", home(blocks).alias("block"), every(shards).alias("shard"))
-    right = base.select("vec_id", "v", "n", home(shards).alias("shard"), every(blocks).alias("block"))
+    # names of its own, as both sides may come from one table
+    right = base.select(F.col("vec_id").alias("id"), F.col("v").alias("w"), F.col("n").alias("n"),
+                        home(shards).alias("shard"), every(blocks).alias("block"))
 
     def search(key, left_rows: pa.Table, right_rows: pa.Table) -> pa.Table:
         if not left_rows.num_rows or not right_rows.num_rows:
             return tile_best(np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0, np.int64), np.zeros((0, 0)), k)
         return tile_best(
             left_rows.column("vec_id").to_numpy(), _matrix(left_rows.column("v"), left_rows.num_rows),
-            right_rows.column("vec_id").to_numpy(), _matrix(right_rows.column("v"), right_rows.num_rows), k)
+            right_rows.column("id").to_numpy(), _matrix(right_rows.column("w"), right_rows.num_rows), k)
 
     keys = ["n", "block", "shard"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, _FOUND)
