@@ -16,6 +16,8 @@ QUERY_EVERY = 50
 TILE_QUERIES = 2_048
 TILE_VECTORS = 8_192
 PRODUCT_ROWS = 256
+#: Scores beyond a long are this, or less it.
+LARGEST = 2**63 - 1
 #: Lists that one step of the tree merges.
 FAN_IN = 16
 
@@ -23,11 +25,13 @@ _FOUND = "query_id long, vec_id long, score long"
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(vec_id, v, n): vectors as integers floor(scale * x), x as double; unusable ones are left out."""
+    """(vec_id, v, n): vectors as integers floor(scale * x), x as double; a component beyond a long is its limit.
+
+    Vectors that are null or hold null or non-finite components are left out.
+    """
     x = F.col(vector).cast("array<double>")
-    limit = F.lit(float(1 << 62))
     good = F.col(vector).isNotNull() & F.forall(
-        x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c * scale) < limit))
+        x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     return vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector).alias(vector)).filter(
         F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False))) \
         .select("vec_id", F.transform(x, lambda c: F.floor(c * scale).cast("long")).alias("v")) \
@@ -47,7 +51,7 @@ def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if bound < 1 << 63:
         return a @ b.T
     exact = a.astype(object) @ b.T.astype(object)
-    return exact.astype(np.int64)  # raises OverflowError where a score is no long
+    return np.clip(exact, -LARGEST, LARGEST).astype(np.int64)
 
 
 def tile_best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> pa.Table:
