@@ -2,113 +2,153 @@
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from liftlab.llm.common import BoundedCache, held_out, slices
+from liftlab.llm.common import held_out, slices
 
 LONGEST = 3
 PROFILE = 400
 UNKNOWN = "und"
-CACHED_WORDS = 100_000
 
-_LETTER = regex.compile(r"\p{L}")
-_WORDS = regex.compile(r"\p{L}+")
+_SPACE = 32
+_CODES = 0x110000
 
 
-def words(text: str | None) -> Counter:
-    """Lower-case runs of letters of the whole text, with their counts."""
-    return Counter(_WORDS.findall((text or "").lower()))
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """Which code points are letters."""
+    out = np.zeros(_CODES, bool)
+    text = "".join(map(chr, [*range(0xD800), *range(0xE000, _CODES)]))
+    out[[ord(c) for c in regex.findall(r"\p{L}", text)]] = True
+    return out
 
 
-def grams(word: str, longest: int = LONGEST) -> list[str]:
-    """All n-grams of a word between two spaces, of 1 to ``longest`` characters."""
-    padded = f" {word} "
-    return [g for n in range(1, longest + 1) for i in range(len(padded) - n + 1)
-            if (g := padded[i:i + n]) != " "]
+def spaced(text: str | None) -> np.ndarray:
+    """Code points of the lower-case letters of the whole text, one space around and between its words."""
+    codes = np.frombuffer((text or "").lower().encode("utf-32-le"), "<u4")
+    letter = letters()[codes]
+    if not letter.any():
+        return codes[:0]
+    # a character that is no letter ends a word if a letter comes before it
+    kept = letter.copy()
+    kept[1:] |= letter[:-1]
+    words = np.where(letter, codes, _SPACE)[kept]
+    return np.concatenate([[_SPACE], words, [_SPACE] * int(letter[-1])]).astype(np.int64)
+
+
+def counted(text: str | None, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all n-grams of the spaced words, 1 to ``longest`` characters, and their counts.
+
+    A key holds 21 bits for each of three characters, the first in front, so keys sort as the n-grams
+    do. A lone space counts for nothing, and no n-gram has a space inside.
+    """
+    codes = spaced(text)
+    if not len(codes):
+        return codes, codes
+    signs, own = np.unique(codes, return_inverse=True)
+    space, keys, counts = int(np.searchsorted(signs, _SPACE)), [], []
+    for n in range(1, longest + 1):
+        if len(own) < n:
+            break
+        name, size = np.zeros(len(own) - n + 1, np.int64), len(signs) ** n
+        for k in range(n):
+            name = name * len(signs) + own[k:len(own) - n + 1 + k]
+        if n == 1:
+            name = name[own != space]
+        elif n > 2:
+            inside = np.zeros(len(name), bool)
+            for k in range(1, n - 1):
+                inside |= own[k:len(name) + k] == space
+            name = name[~inside]
+        if size <= 4 * len(name) + 50_000:
+            count = np.bincount(name, minlength=1)
+            found = np.flatnonzero(count)
+            count = count[found]
+        else:
+            found, count = np.unique(name, return_counts=True)
+        key = np.zeros(len(found), np.int64)
+        for k in range(n):
+            sign = signs[found // len(signs) ** (n - 1 - k) % len(signs)]
+            key |= (sign + 1) << 21 * (2 - k)
+        keys.append(key)
+        counts.append(count)
+    return np.concatenate(keys), np.concatenate(counts)
+
+
+def most_frequent(keys: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """Keys of the ``size`` most frequent n-grams in order of rank, ties to the smaller one."""
+    if len(keys) > size:
+        near = counts >= np.partition(counts, len(counts) - size)[len(counts) - size]
+        keys, counts = keys[near], counts[near]
+    return keys[np.lexsort((keys, -counts))][:size]
+
+
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal keys added up."""
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
 
 
 def profiles(docs: DataFrame, longest: int = LONGEST, size: int = PROFILE) -> DataFrame:
-    """(lang, gram, place): the ``size`` most frequent n-grams of each language, place from 0.
+    """(lang, gram, place): keys of the ``size`` most frequent n-grams of each language, place from 0.
 
     Learns from all rows that are not held out and name a language; ties go to the smaller n-gram.
-    Tasks send one count per (language, word) of a batch, so a hot language is summed before the shuffle.
+    Tasks send one count per (language, n-gram) of a batch, so a hot language is summed before the shuffle.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total: dict[str, Counter] = defaultdict(Counter)
-            for part in slices(batch, 512):
+            total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+            for part in slices(batch, 256):
+                found = defaultdict(list)
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    total[lang].update(words(text))
-            found: dict[str, Counter] = {}
-            for lang, counter in total.items():
-                found[lang] = summed = Counter()
-                for word, n in counter.items():
-                    for g in grams(word, longest):
-                        summed[g] += n
-            rows = [(lang, g, n) for lang, c in found.items() for g, n in c.items()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 3, (pa.string(), pa.string(), pa.int64()))],
-                ["lang", "gram", "n"])
+                    found[lang].append(counted(text, longest))
+                for lang, own in found.items():
+                    total[lang] = summed(*zip(*own, *([total[lang]] if lang in total else [])))
+            for lang, (keys, counts) in total.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(counts)], ["lang", "gram", "n"])
 
     learn = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("lang").cast("string"), "text")
-    counted = learn.mapInArrow(count, "lang string, gram string, n long") \
+    found = learn.mapInArrow(count, "lang string, gram long, n long") \
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ranked = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counted.withColumn("place", F.row_number().over(ranked) - 1).filter(F.col("place") < size) \
+    return found.withColumn("place", F.row_number().over(ranked) - 1).filter(F.col("place") < size) \
         .select("lang", "gram", "place")
 
 
 class Ranker:
     """Out-of-place distances of a document's n-grams to each language profile."""
 
-    def __init__(self, rows: list[tuple[str, str, int]], longest: int = LONGEST, size: int = PROFILE):
+    def __init__(self, rows: list[tuple[str, int, int]], longest: int = LONGEST, size: int = PROFILE):
         self.langs = sorted({lang for lang, _, _ in rows})
         self.size, self.longest = size, longest
         number = {lang: k for k, lang in enumerate(self.langs)}
-        known: dict[str, int] = {}
-        for _, g, _ in rows:
-            known.setdefault(g, len(known))
+        self.known = np.unique(np.array([g for _, g, _ in rows], np.int64))
         # an n-gram outside a profile is as far out of place as a profile is long
-        self.places = np.full((len(known) + 1, len(self.langs)), size, np.int64)
+        self.places = np.full((len(self.known) + 1, len(self.langs)), -1, np.int64)
         for lang, g, place in rows:
-            self.places[known[g], number[lang]] = place
-        self.known = known
-        self.inside = self.places < size
-        self.cache = BoundedCache(lambda w: grams(w, longest), CACHED_WORDS)
-
-    def top(self, counter: Counter) -> list[str]:
-        """The document's most frequent n-grams, ties to the smaller one."""
-        found: dict[str, int] = defaultdict(int)
-        cache = self.cache
-        for word, n in counter.items():
-            for g in cache[word]:
-                found[g] += n
-        if len(found) > self.size:
-            border = sorted(found.values(), reverse=True)[self.size - 1]
-            found = {g: n for g, n in found.items() if n >= border}
-        return sorted(found, key=lambda g: (-found[g], g))[:self.size]
+            self.places[np.searchsorted(self.known, g), number[lang]] = place
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        counter = words(text)
-        if not counter or not self.langs:
+        keys, counts = counted(text, self.longest)
+        if not len(keys) or not self.langs:
             return UNKNOWN, 0.0
-        top = self.top(counter)
-        row = np.array([self.known.get(g, -1) for g in top])
-        places, inside = self.places[row], self.inside[row]
-        place = np.arange(len(top))[:, None]
-        off = np.where(inside & (row >= 0)[:, None], np.abs(places - place), self.size).sum(axis=0)
+        top = most_frequent(keys, counts, self.size)
+        row = np.searchsorted(self.known, top)
+        row[self.known[np.minimum(row, len(self.known) - 1)] != top] = len(self.known)
+        places = self.places[row]
+        off = np.where(places >= 0, np.abs(places - np.arange(len(top))[:, None]), self.size).sum(axis=0)
         best = int(off.argmin())
-        worst = self.size * len(top)
         if len(self.langs) == 1:
-            return self.langs[0], 1.0 - float(off[best]) / worst
+            return self.langs[0], 1.0 - float(off[best]) / (self.size * len(top))
         second = float(np.partition(off, 1)[1])
         return self.langs[best], (second - float(off[best])) / second if second else 0.0
 

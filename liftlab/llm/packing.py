@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -11,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from liftlab.llm.common import BoundedCache, slices
+from liftlab.llm.common import slices
 
 LENGTH = 4096
 END_ID = 2
@@ -19,45 +21,78 @@ END_ID = 2
 LEVEL = 64
 #: Expected documents of one shard, the unit that one task packs.
 SHARD_DOCS = 8192
-CACHED_WORDS = 300_000
+#: Words that a worker keeps, and half the runs of letters; about 150 bytes each.
+CACHED_WORDS = 600_000
 
 PIECES = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
 
 class WordTokens:
-    """Ids of a vocabulary that never joins letters across white space.
+    """Ids of a vocabulary that never joins letters across white space and marks the ends of words.
 
-    Such a text's ids are those of its words in turn, so each new word is encoded once.
+    Such a text's ids are those of its words in turn, so a worker encodes each new word once. A word
+    of Latin letters and closing marks is taken apart, and new runs of letters are encoded together
+    in one text, whose ids are cut again at the tokens that end a word.
     """
 
+    #: Letters that stay one code point each when composed or put in lower case, then closing marks.
+    SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?]*)")
+
     def __init__(self, path: str, cached_words: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
-        coder = Tokenizer.from_file(path)
-        self.words = BoundedCache(
-            lambda w: np.array(coder.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes(),
-            cached_words)
-        self.coder, self.most = coder, cached_words
+        self.coder = Tokenizer.from_file(path)
+        names = self.coder.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        self.most = cached_words
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.encode().split() for t in texts]
-        words = self.words
-        # words not seen before are encoded together
-        new = list(set().union(*cut) - words.keys())
-        if len(words) + len(new) > self.most:
-            words.clear()
-            new = list(set().union(*cut))
-        for w, e in zip(new, self.coder.encode_batch_fast([w.decode() for w in new],
-                                                          add_special_tokens=False)):
-            dict.__setitem__(words, w, np.array(e.ids, "<u4").tobytes())
-        return [b"".join(map(words.__getitem__, c)) for c in cut]
+        new = set().union(*cut) - self.words.keys()
+        if len(self.words) + len(new) > self.most:
+            self.words.clear()
+            new = set().union(*cut)
+        self._learn(list(new))
+        look = self.words.__getitem__
+        return [b"".join(map(look, c)) for c in cut]
+
+    def _learn(self, words: list[bytes]) -> None:
+        runs, taken = self.runs, [self.SIMPLE.fullmatch(w.decode()) for w in words]
+        odd = [w for w, m in zip(words, taken) if not m]
+        simple = [w for w, m in zip(words, taken) if m]
+        letters = [m[1].lower() for m in taken if m]
+        marks = [m[2] for m in taken if m]
+        need = set(letters).union(marks) - runs.keys() - {""}
+        if len(runs) + len(need) > 2 * self.most:
+            runs.clear()
+            need = set(letters).union(marks) - {""}
+        self._learn_runs(list(need))
+        runs[""] = b""
+        self.words.update(zip(simple, map(bytes.__add__, map(runs.__getitem__, letters), map(runs.__getitem__, marks))))
+        for word, found in zip(odd, self._whole([w.decode() for w in odd])):
+            self.words[word] = found
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        for at in range(0, len(runs), 5_000):
+            part = runs[at:at + 5_000]
+            ids = np.frombuffer(self._whole([" ".join(part)])[0], "<u4")
+            borders = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(borders) == len(part):
+                whole = ids.tobytes()
+                self.runs.update(zip(part, map(whole.__getitem__, map(slice, [0, *borders], borders))))
+            else:  # a vocabulary that cuts a run of letters
+                self.runs.update(zip(part, self._whole(part)))
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.coder.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=2)
 def loaded(path: str) -> WordTokens:
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordTokens(path)
 

@@ -263,6 +263,22 @@ def test_language(spark):
 
 
 def test_out_of_place_distance():
-    ranker = language.Ranker([("a", "x", 0), ("a", "y", 1), ("b", "y", 0)], longest=1, size=3)
+    key = lambda c: (ord(c) + 1) << 42
+    ranker = language.Ranker([("a", key("x"), 0), ("a", key("y"), 1), ("b", key("y"), 0)], longest=1, size=3)
     # document order: y, x; a: 1 + 1, b: 0 + 3
     assert ranker.predict("yy x") == ("a", pytest.approx(1 / 3))
+
+
+@pytest.mark.parametrize("text", [t for t in data.texts() if t is not None] + ["a", " a b", "\U0010ffffé", "二三 " * 700])
+def test_grams(text):
+    import regex
+
+    want = Counter()
+    for word in regex.findall(r"\p{L}+", text.lower()):
+        padded = f" {word} "
+        want.update(g for n in (1, 2, 3) for i in range(len(padded) - n + 1) if (g := padded[i:i + n]) != " ")
+    keys, counts = language.counted(text)
+    back = lambda k: "".join(chr((k >> s & (1 << 21) - 1) - 1) for s in (42, 21, 0) if k >> s & (1 << 21) - 1)
+    assert {back(k): n for k, n in zip(keys.tolist(), counts.tolist())} == want
+    top = [back(k) for k in language.most_frequent(keys, counts, 20).tolist()]
+    assert top == sorted(want, key=lambda g: (-want[g], g))[:20]
