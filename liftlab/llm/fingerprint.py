@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 SAMPLES = 128
 #: Distinct terms whose samples a worker keeps: three 4-byte numbers per sample.
 CACHED_TERMS = 60_000
-_BLOCK = 1_024
+_BLOCK = 512
 # The increments and factors of a 64-bit mixing function.
 _STEP, _MIX_A, _MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -33,12 +33,17 @@ def _uniform(bits: np.ndarray, shift: int, width: int) -> np.ndarray:
 
 
 def draw(keys: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per term and sample r ~ Gamma(2, 1), log c with c ~ Gamma(2, 1), and b uniform, all from the term's key."""
+    """Per term and sample r ~ Gamma(2, 1), b uniform, and the value log a of a single occurrence.
+
+    With c ~ Gamma(2, 1), a weight w has the level t = floor(log w / r + b) and the value
+    log a = log c - r (t - b + 1); the third result is this for t = 0. All come from the term's key.
+    """
     place = (np.arange(samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)) * _STEP
     one, two = _mixed(keys[:, None] + place), _mixed(keys[:, None] + (place + _STEP))
     r = -(np.log(_uniform(one, 40, 24)) + np.log(_uniform(one, 16, 24)))
     c = -(np.log(_uniform(two, 40, 24)) + np.log(_uniform(two, 16, 24)))
-    return r, np.log(c), _uniform(one ^ (two << np.uint64(7)), 0, 16)
+    b = _uniform(one ^ (two << np.uint64(7)), 0, 16)
+    return r, b, np.log(c) - r * (1 - b)
 
 
 class Sampler:
@@ -48,7 +53,7 @@ class Sampler:
         self.samples, self.columns = samples, np.arange(samples)
         self.rows: dict[bytes, int] = {}
         self.keys = np.zeros(cached, np.uint64)
-        self.r, self.log_c, self.b = (np.zeros((cached, samples), np.float32) for _ in range(3))
+        self.r, self.b, self.single = (np.zeros((cached, samples), np.float32) for _ in range(3))
 
     def _places(self, terms: list[bytes]) -> np.ndarray:
         """Rows of the terms' samples; unknown terms are drawn together."""
@@ -61,7 +66,7 @@ class Sampler:
             at = slice(len(rows), len(rows) + len(new))
             keys = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))
             self.keys[at] = keys
-            self.r[at], self.log_c[at], self.b[at] = draw(keys, self.samples)
+            self.r[at], self.b[at], self.single[at] = draw(keys, self.samples)
             rows.update(zip(new, range(at.start, at.stop)))
         return np.fromiter(map(rows.__getitem__, terms), np.int64, len(terms))
 
@@ -69,23 +74,28 @@ class Sampler:
         """Two bytes per sample that name the sampled (term, level); no words: an empty fingerprint."""
         if not words:
             return b""
-        weights = Counter(words)
         best = np.full(self.samples, np.inf, np.float32)
         chosen = np.zeros(self.samples, np.uint64)
-        terms = list(weights)
-        for at in range(0, len(terms), _BLOCK):
-            part = terms[at:at + _BLOCK]
-            rows = self._places(part)
-            r, b = self.r[rows], self.b[rows]
-            log_w = np.log(np.fromiter(map(weights.__getitem__, part), np.float32, len(part)))[:, None]
-            level = np.floor(log_w / r + b)
-            log_a = self.log_c[rows] - r * (level - b + 1)
-            least = log_a.argmin(axis=0)
-            value = log_a[least, self.columns]
-            # the names make ties between blocks independent of the order of terms
-            name = _mixed(self.keys[rows][least] + level[least, self.columns].astype(np.int64).view(np.uint64) * _STEP)
-            better = (value < best) | (value == best) & (name < chosen)
-            best, chosen = np.where(better, value, best), np.where(better, name, chosen)
+        weights = Counter(words)
+        once = [t for t, w in weights.items() if w == 1]
+        often = [t for t, w in weights.items() if w > 1]
+        for terms in (once, often):
+            for at in range(0, len(terms), _BLOCK):
+                part = terms[at:at + _BLOCK]
+                rows = self._places(part)
+                log_a, level = self.single[rows], None
+                if terms is often:
+                    r, w = self.r[rows], np.fromiter(map(weights.__getitem__, part), np.float32, len(part))
+                    level = np.floor(np.log(w)[:, None] / r + self.b[rows])
+                    log_a -= r * level
+                least = log_a.argmin(axis=0)
+                value, name = log_a[least, self.columns], self.keys[rows][least]
+                if level is not None:
+                    name = name + level[least, self.columns].astype(np.int64).view(np.uint64) * _STEP
+                # the names make ties between blocks independent of the order of terms
+                name = _mixed(name)
+                better = (value < best) | (value == best) & (name < chosen)
+                best, chosen = np.where(better, value, best), np.where(better, name, chosen)
         return (chosen >> np.uint64(48)).astype("<u2").tobytes()
 
 

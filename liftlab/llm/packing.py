@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -13,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from liftlab.llm.bpe import byte_letters
 from liftlab.llm.common import slices
 
 LENGTH = 4096
@@ -43,6 +45,12 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
+        # the same merges without the steps that runs of letters or marks have behind them
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        content |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.merger = Tokenizer.from_str(json.dumps(content))
+        self.letters = {b: c for b, c in byte_letters().items() if b != ord(" ")}
         names = self.coder.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
@@ -79,7 +87,8 @@ class WordTokens:
     def _learn_runs(self, runs: list[str]) -> None:
         for at in range(0, len(runs), 5_000):
             part = runs[at:at + 5_000]
-            ids = np.frombuffer(self._whole([" ".join(part)])[0], "<u4")
+            text = " ".join(part).encode().decode("latin-1").translate(self.letters)
+            ids = np.array(self.merger.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             borders = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(borders) == len(part):
                 whole = ids.tobytes()
