@@ -8,6 +8,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,8 @@ class WordTokens:
     in one text, whose ids are cut again at the tokens that end a word.
     """
 
-    #: Letters that stay one code point each when composed or put in lower case, then closing marks.
-    SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?]*)")
+    #: A line of lower-case letters that stay one code point each when composed, then closing marks; or any line.
+    SIMPLE = re.compile("^([a-zß-öø-ÿ]*)([.,;:!?]*)$|^.*$", re.MULTILINE)
 
     def __init__(self, path: str, cached_words: int = CACHED_WORDS):
         from tokenizers import Tokenizer
@@ -60,29 +61,29 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.encode().split() for t in texts]
-        new = set().union(*cut) - self.words.keys()
+        found = set().union(*cut)
+        new = list(filterfalse(self.words.__contains__, found))
         if len(self.words) + len(new) > self.most:
             self.words.clear()
-            new = set().union(*cut)
-        self._learn(list(new))
+            new = list(found)
+        self._learn(new)
         look = self.words.__getitem__
         return [b"".join(map(look, c)) for c in cut]
 
     def _learn(self, words: list[bytes]) -> None:
-        runs, taken = self.runs, [self.SIMPLE.fullmatch(w.decode()) for w in words]
-        odd = [w for w, m in zip(words, taken) if not m]
-        simple = [w for w, m in zip(words, taken) if m]
-        letters = [m[1].lower() for m in taken if m]
-        marks = [m[2] for m in taken if m]
-        need = set(letters).union(marks) - runs.keys() - {""}
+        if not words:
+            return
+        runs, parts = self.runs, self.SIMPLE.findall(b"\n".join(words).decode().lower())
+        used = {r for p in parts for r in p}
+        need = list(filterfalse(runs.__contains__, used))
         if len(runs) + len(need) > 2 * self.most:
             runs.clear()
-            need = set(letters).union(marks) - {""}
-        self._learn_runs(list(need))
+            need = list(used)
+        self._learn_runs([r for r in need if r])
         runs[""] = b""
-        self.words.update(zip(simple, map(bytes.__add__, map(runs.__getitem__, letters), map(runs.__getitem__, marks))))
-        for word, found in zip(odd, self._whole([w.decode() for w in odd])):
-            self.words[word] = found
+        odd = [w for w, p in zip(words, parts) if not any(p)]
+        self.words.update((w, runs[p[0]] + runs[p[1]]) for w, p in zip(words, parts))
+        self.words.update(zip(odd, self._whole([w.decode() for w in odd])))
 
     def _learn_runs(self, runs: list[str]) -> None:
         for at in range(0, len(runs), 5_000):
