@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -25,7 +26,7 @@ LEVEL = 64
 #: Expected documents of one shard, the unit that one task packs.
 SHARD_DOCS = 8192
 #: Words that a worker keeps, and half the runs of letters; about 150 bytes each.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
 
 PIECES = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
@@ -60,6 +61,13 @@ class WordTokens:
         self.most = cached_words
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        gc.disable()  # nothing here is cyclic, and the collector would look at each new pair of parts
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.encode().split() for t in texts]
         found = set().union(*cut)
         new = list(filterfalse(self.words.__contains__, found))
