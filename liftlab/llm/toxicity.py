@@ -197,7 +197,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     pattern counts (at most 2 to the number of lexicon voters, times the few states of the pattern
     voters) and the hits of the sampled rows.
     """
-    labelled = written(sample(docs, labels, rows), "toxic-sample")
+    # small parts, as a task counts all stems of its texts
+    labelled = written(sample(docs, labels, rows).repartition(64), "toxic-sample")
     lexicon = mine_lexicon(labelled)
     if not lexicon:
         return Model([], np.zeros(2), -40.0)
