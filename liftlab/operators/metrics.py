@@ -66,7 +66,7 @@ def avg_precision(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
 
 def accuracy(df: DataFrame, score: str, label: str, threshold: float = 0.5,
              by: Sequence[str] = ()) -> DataFrame:
-    scored = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    scored = df.where(numeric.no_nan(F.col(score)).isNotNull() & F.col(label).isNotNull())
     hit = (F.col(score) >= F.lit(threshold)) == (F.col(label).cast("int") == 1)
     return scored.groupBy(*by).agg(
         numeric.round_half_up(F.count_if(hit) / F.count(F.lit(1)), 6).alias("accuracy"))
