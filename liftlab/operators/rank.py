@@ -108,7 +108,11 @@ def running_sums(df: DataFrame, order: Sequence[Column], sums: Sequence[str],
     so_far = (Window.partitionBy(*within, _PART).orderBy(_POS)
               .rowsBetween(Window.unboundedPreceding, 0))
     running = table.select("*", *[F.sum(c).over(so_far).alias(f"cum_{c}") for c in sums])
-    joined = running.join(_offsets(totals, sums, within), [*within, _PART])
+    # null-safe: a NULL group is a group
+    names = {c: f"_of_{c}" for c in [*within, _PART]}
+    offsets = _offsets(totals, sums, within).withColumnsRenamed(names)
+    joined = running.join(offsets, [F.col(c).eqNullSafe(F.col(of)) for c, of in names.items()]) \
+        .drop(*names.values())
     return joined.withColumns({
         f"cum_{c}": F.col(f"cum_{c}") + F.col(f"{_BEFORE}_{c}") for c in sums
     }).drop(_PART, _POS, *[f"{_BEFORE}_{c}" for c in sums])

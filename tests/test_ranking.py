@@ -125,3 +125,12 @@ def test_top_k_flags(spark, monkeypatch):
 def test_accuracy_ignores_missing(spark):
     df = spark.createDataFrame([(0.5, 1), (0.4, 0), (0.6, 0), (None, 1)], "s double, y int")
     assert math.isclose(metrics.accuracy(df, "s", "y").first().accuracy, 0.666667)
+
+
+def test_metrics_keep_the_null_group_and_leave_nan_out(spark):
+    rows_ = [(g, s, y) for g in (None, "a") for s, y in ((0.9, 1), (0.2, 0), (0.4, 1), (float("nan"), 0))]
+    df = spark.createDataFrame(rows_, "g string, p double, y int")
+    got = {r.g: r.roc_auc for r in metrics.ranking_metrics(df, "p", "y", ["g"]).collect()}
+    assert got == {None: 1.0, "a": 1.0}
+    assert {r.g: r.accuracy for r in metrics.accuracy(df, "p", "y", by=["g"]).collect()} == {
+        None: 0.666667, "a": 0.666667}
