@@ -56,18 +56,15 @@ def test_lines_awkward_rows(spark):
 
 
 def test_lines_clean_keeps_columns(spark):
-    docs = data.frame(spark)
+    found = near_copies()
+    docs = data.plain(spark, found)
     got = lines.clean(docs)
-    assert got.columns == docs.columns and got.count() == docs.count()
-    want = Counter()
-    for r, (i, n, _, cut) in zip(data.rows(), [None] * 0 or [
-            next(k for k in brute_lines(data.rows()) if k[0] == r[0] and k[1] == len((r[1] or "").split("\n")) * (r[1] is not None))
-            for r in data.rows()]):
-        gone = set(filter(None, cut.split(",")))
-        text = None if r[1] is None else "\n".join(x for p, x in enumerate(r[1].split("\n")) if str(p) not in gone)
-        want[(i, text)] += 1
-    if len({(r[0], (r[1] or "").count("\n")) for r in data.rows()}) == len({(r[0], r[1]) for r in data.rows()}):
-        assert Counter((r.doc_id, r.text) for r in got.collect()) == want
+    assert got.columns == docs.columns
+    gone = {i: set(cut.split(",")) for i, _, _, cut in brute_lines(found)}
+    want = {i: "\n".join(x for p, x in enumerate(t.split("\n")) if str(p) not in gone[i]) for i, t in found}
+    assert {r.doc_id: r.text for r in got.collect()} == want
+    awkward = data.frame(spark)
+    assert lines.clean(awkward).count() == awkward.count()
 
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
