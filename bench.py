@@ -22,7 +22,7 @@ HEADLINES = [
     "concentration", "cohort_propensity", "roc_auc", "avg_precision", "cumulative_gains",
     "nudge_assemble", "pii_audit", "sessions_by_gap", "exposed_events", "trailing_features",
     "funnel", "clustered_export", "stream_ingest", "stream_refresh", "stream_sessions",
-    "user_recommendations", "gbt_metrics",
+    "user_recommendations", "gbt_metrics", "serving_lookup", "top_users_product",
 ]
 
 
