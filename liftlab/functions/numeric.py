@@ -6,23 +6,43 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# From here on a double has no fraction, and floor(), which gives a long, could saturate.
+_WHOLE = float(1 << 52)
+
+
 def round_half_up(col: Column, digits: int = 0) -> Column:
-    """Half-up rounding by plain arithmetic, so that ties do not depend on the engine."""
-    if digits == 0:
-        return F.floor(col + F.lit(0.5)).cast("double")
+    """Half-up rounding by plain arithmetic, so that ties do not depend on the engine.
+
+    A number too large to have such digits stays as it is, and so do NaN and the infinities.
+    """
     unit = float(10 ** digits)
-    return F.floor(col * F.lit(unit) + F.lit(0.5)) / F.lit(unit)
+    value = col.cast("double")
+    scaled = value * F.lit(unit)
+    return F.when(F.abs(scaled) < F.lit(_WHOLE), F.floor(scaled + F.lit(0.5)) / F.lit(unit)).otherwise(value)
+
+
+def finite(col: Column) -> Column:
+    """NaN and the infinities as NULL, for amounts that were read from text."""
+    return F.when(~F.isnan(col) & (F.abs(col) < F.lit(float("inf"))), col)
+
+
+def _whole_steps(col: Column, steps: float) -> Column:
+    """The number of steps in ``col``, rounded half up; a value that is not finite ends the query."""
+    scaled = col * F.lit(steps)
+    checked = F.when(scaled.isNotNull() & finite(scaled).isNull(),
+                     F.raise_error(F.lit("a sum met a number that is not finite")).cast("double")).otherwise(scaled)
+    return F.when(F.abs(scaled) < F.lit(_WHOLE), F.floor(scaled + F.lit(0.5)).cast("decimal(38,0)")) \
+        .otherwise(checked.cast("decimal(38,0)"))
 
 
 def money_sum(col: Column) -> Column:
-    """Exact, order-independent sum of amounts in cents (a long sum, not a double sum)."""
-    cents = F.floor(col * F.lit(100.0) + F.lit(0.5)).cast("long")
-    return F.sum(cents) / F.lit(100.0)
+    """Exact, order-independent sum of amounts in cents (a decimal sum, not a double sum)."""
+    return exact_sum(col, 100.0)
 
 
 def exact_sum(col: Column, steps: float = 1e9) -> Column:
     """Sum of doubles in fixed steps: the same on every partitioning, unlike a double sum."""
-    return F.sum(F.floor(col * F.lit(steps) + F.lit(0.5)).cast("decimal(20,0)")).cast("double") / F.lit(steps)
+    return F.sum(_whole_steps(col, steps)).cast("double") / F.lit(steps)
 
 
 def mean(col: Column, digits: int) -> Column:

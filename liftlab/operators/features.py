@@ -122,12 +122,14 @@ def user_features(users: DataFrame, events: DataFrame, assignments: DataFrame,
 
 def trailing(events: DataFrame, as_of: str, days: int) -> DataFrame:
     """Activity in the ``days`` before ``as_of``: trades, deposits per day, events per session,
-    and the catalog products traded (a fixed list of flags, so no set is collected)."""
+    and all products traded, those of the catalog first and in its order, others by name."""
     until = timing.instant(as_of)
     recent = (F.col("event_ts") < until) & (F.col("event_ts") >= timing.days_after(until, -days))
     trade = F.col("event_type") == "trade"
-    held = [F.when(F.max(F.when(trade & (F.col("product") == row[0]), 1)) == 1, F.lit(row[0]))
-            for row in CATALOG]
+    known = F.array(*[F.lit(row[0]) for row in CATALOG])
+    # a set of products, so at most as long as the list of all products
+    held = F.array_sort(F.transform(F.collect_set(F.when(trade, F.col("product"))), lambda p: F.struct(
+        F.coalesce(F.nullif(F.array_position(known, p), F.lit(0)), F.lit(len(CATALOG) + 1)).alias("at"), p.alias("p"))))
     deposits = F.coalesce(
         numeric.money_sum(F.when(F.col("event_type") == "deposit", F.col("amount_usd"))), F.lit(0.0))
     sessions = F.countDistinct("session_id")
@@ -136,5 +138,5 @@ def trailing(events: DataFrame, as_of: str, days: int) -> DataFrame:
         numeric.round_half_up(deposits / F.lit(float(days)), 4).alias("deposit_per_day_usd"),
         numeric.round_half_up(F.count(F.lit(1)) / F.when(sessions > 0, sessions), 4)
         .alias("events_per_session"),
-        F.concat_ws(",", *held).alias("product_holdings"),
+        F.concat_ws(",", held["p"]).alias("product_holdings"),
     )

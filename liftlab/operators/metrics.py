@@ -40,18 +40,19 @@ def ranking_metrics(df: DataFrame, score: str, label: str, by: Sequence[str] = (
     """
     steps = _from_best(score_counts(df, score, label, by), by)
     pos, cum_pos, cum_neg = (F.col(c).cast("double") for c in ("pos", "cum_pos", "cum_neg"))
-    neg = F.col("neg").cast("double")
+    twice = F.expr("CAST(pos AS DECIMAL(19,0)) * (2 * CAST(cum_neg AS DECIMAL(17,0)) - neg)")
     sums = steps.groupBy(*by).agg(
         F.sum("pos").alias("_p"), F.sum("neg").alias("_q"),
-        # negatives ranked above this score or, for one half, beside it
-        F.sum(pos * (cum_neg - neg / 2)).alias("_above"),
+        # negatives ranked above this score (two halves) or beside it (one half), as an exact sum
+        F.sum(twice.cast("decimal(38,0)")).alias("_halves_above"),
         numeric.exact_sum(pos * (cum_pos / (cum_pos + cum_neg))).alias("_precision"),
     )
     both = (F.col("_p") > 0) & (F.col("_q") > 0)
     pairs = F.col("_p").cast("double") * F.col("_q").cast("double")
+    above = F.col("_halves_above").cast("double") / F.lit(2.0)
     return sums.select(
         *by,
-        numeric.round_half_up(F.when(both, (pairs - F.col("_above")) / pairs), 6).alias("roc_auc"),
+        numeric.round_half_up(F.when(both, (pairs - above) / pairs), 6).alias("roc_auc"),
         numeric.round_half_up(F.when(both, F.col("_precision") / F.col("_p")), 6).alias("avg_precision"),
     )
 

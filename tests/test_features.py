@@ -1,8 +1,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from liftlab import Settings
+from liftlab.functions import numeric
 from liftlab.operators import experiments, features, sessions, silver
 from tests.conftest import rows
 
@@ -192,3 +194,12 @@ def test_hot_user_is_split_in_the_exposure_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_sums_do_not_saturate(spark):
+    df = spark.createDataFrame([(2e10,), (4e10,)], "x double")
+    assert df.agg(numeric.mean(F.col("x"), 2)).first()[0] == 3e10
+    big = spark.createDataFrame([(1e14,), (float("nan"),), (None,)], "x double")
+    assert big.select(numeric.round_half_up(F.col("x"), 6)).first()[0] == 1e14
+    with pytest.raises(Exception, match="not finite"):
+        big.agg(numeric.money_sum(F.col("x"))).collect()
