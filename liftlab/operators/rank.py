@@ -35,6 +35,11 @@ def _order(df: DataFrame, score: str, key: str, ascending: bool) -> list[Column]
     return [first, F.col(key).asc()]
 
 
+def best_first(df: DataFrame, score: str, key: str) -> list[Column]:
+    """The order of ``global_rank``: highest score first, ties by key, missing scores last."""
+    return _order(df, score, key, ascending=False)
+
+
 def ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """``df`` with its range number and position, written once in that order.
 
@@ -57,6 +62,10 @@ def _offsets(per_range: DataFrame, sums: Sequence[str], within: Sequence[str] =
         F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{_BEFORE}_{c}") for c in sums])
 
 
+def _narrow(df: DataFrame, score: str, key: str) -> DataFrame:
+    return df.select(_score(df, score).alias("_v"), F.col(key).alias("_k"))
+
+
 def _ranked(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Adds the 1-based rank and the number of rows, ``_n``."""
     table = ranges(df, order)
@@ -84,16 +93,38 @@ def quantile_cut(df: DataFrame, score: str, key: str, groups: int = 10,
 
     The cut points are the linear quantiles of the ranks 1..n, group borders belong to the
     lower group. This differs from ntile() unless the groups come out equal. Rows without a
-    score rank below all others.
+    score rank below all others. Only (score, key) is shuffled and written, to find the last pair
+    of each group; ``df`` itself is compared with these borders where it is. It is therefore read
+    twice: pass a written table if it is costly.
     """
-    value = _score(df, score)
-    order = [value.asc_nulls_first(), F.col(key).asc()]
-    ranked = _ranked(df, order, "_rank")
+    ranked = _ranked(_narrow(df, score, key), [F.col("_v").asc_nulls_first(), F.col("_k").asc()], "_rank")
     span = "greatest(_n - 1, 1)"
     upper = F.expr(f"({groups} * (_rank - 1) + {span} - 1) DIV {span}")
-    cut = F.lit(groups) - F.greatest(upper - 1, F.lit(0))
-    return ranked.withColumn(
-        name, F.when(F.col("_n") == 1, F.lit(1)).otherwise(cut).cast("int")).drop("_rank", "_n")
+    cut = F.when(F.col("_n") == 1, F.lit(1)).otherwise(F.lit(groups) - F.greatest(upper - 1, F.lit(0)))
+    place = F.struct(F.col("_v"), F.col("_k"))
+    borders = ranked.groupBy(cut.cast("int").alias("cut")).agg(F.max(place).alias("upto"))
+    # one border per group; structs sort with NULL first, as the ranks do
+    table = borders.agg(F.array_sort(F.collect_list(F.struct("upto", "cut")))).scalar()
+    own = F.struct(_score(df, score).alias("_v"), F.col(key).alias("_k"))
+    found = F.filter(F.col("_borders"), lambda b: b["upto"] >= own)
+    return df.withColumn("_borders", table).withColumn(name, F.get(found, F.lit(0))["cut"]).drop("_borders")
+
+
+def within_top(df: DataFrame, score: str, key: str, k: int) -> Column:
+    """True for the k first rows by (score desc, key); NULL and NaN scores come last.
+
+    The k-th (score, key) is read off the distributed rank of these two columns alone, whatever k
+    is, and comes back as a scalar subquery; the rows of ``df`` are then compared with it in place.
+    """
+    if k <= 0:
+        return F.lit(False)
+    ranked = _ranked(_narrow(df, score, key), [F.col("_v").desc_nulls_last(), F.col("_k").asc()], "_rank")
+    kth = ranked.where(F.col("_rank") == k).select(F.struct("_v", "_k")).scalar()
+    value, own, least, last = _score(df, score), F.col(key), kth["_v"], kth["_k"]
+    tie = own.isNull() | F.coalesce(own <= last, F.lit(False))
+    inside = F.when(value.isNull(), least.isNull() & tie) \
+        .otherwise(least.isNull() | (value > least) | ((value == least) & tie))
+    return F.when(kth.isNull(), F.lit(True)).otherwise(inside)  # fewer than k rows
 
 
 def running_sums(df: DataFrame, order: Sequence[Column], sums: Sequence[str],

@@ -5,45 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from liftlab.functions import numeric
 from liftlab.operators import rank
 
-# A top-k sends k rows of every partition to one task. Beyond this k a distributed rank is used.
-TOP_K_IN_ONE_TASK = 1_000
-
-
-def _best_first(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
-    """The k best rows by (score desc, key); NULL and NaN scores come last."""
-    if k <= TOP_K_IN_ONE_TASK:
-        return df.orderBy(numeric.no_nan(F.col(score)).desc_nulls_last(), F.col(key).asc()).limit(k)
-    return rank.global_rank(df, score, key, name="_rank").where(F.col("_rank") <= k).drop("_rank")
-
 
 def top_users(recs: DataFrame, k: int, product: str | None = None,
               score: str = "propensity_score", key: str = "user_id") -> DataFrame:
-    """The k users with the highest score, of one recommended product if given."""
+    """The k users with the highest score, best first, of one recommended product if given.
+
+    One method for every k: only (score, key) is ranked, and no task receives more than its range.
+    """
     chosen = recs if product is None else recs.where(F.col("recommended_product") == product)
-    return _best_first(chosen, score, key, k)
+    return chosen.where(rank.within_top(chosen, score, key, k)).orderBy(*rank.best_first(chosen, score, key))
 
 
 def flag_top_k(df: DataFrame, k: int, score: str = "propensity_score", key: str = "user_id",
                name: str = "is_top_k") -> DataFrame:
     """Mark the k best rows and keep all others.
 
-    Only the k-th (score, key) is looked up, as a scalar subquery; rows are then compared with
-    it, so there is no sort of all rows and no join.
+    Only the k-th (score, key) is looked up; rows are then compared with it, so wide rows are
+    neither sorted nor joined.
     """
-    if k <= 0:
-        return df.withColumn(name, F.lit(False))
-    if k > TOP_K_IN_ONE_TASK:
-        ranked = rank.global_rank(df, score, key, name="_rank")
-        return ranked.withColumn(name, F.col("_rank") <= k).drop("_rank")
-    # NULL as minus infinity keeps unscored rows last, and the order total.
-    value = F.coalesce(numeric.no_nan(F.col(score).cast("double")), F.lit(float("-inf")))
-    place = F.struct((-value).alias("s"), F.col(key).alias("k"))
-    top = df.select(place.alias("place")).orderBy("place").limit(k)
-    kth = top.agg(F.max("place")).scalar()
-    return df.withColumn(name, F.coalesce(place <= kth, F.lit(False)))
+    return df.withColumn(name, rank.within_top(df, score, key, k))
 
 
 def cohort(recs: DataFrame, max_decile: int) -> DataFrame:

@@ -107,7 +107,7 @@ def test_metrics_without_both_classes_are_null(spark):
     assert tuple(metrics.ranking_metrics(df, "s", "y").first()) == (None, None)
 
 
-def test_top_k_flags(spark, monkeypatch):
+def test_top_k_flags(spark):
     df = spark.createDataFrame(
         [("a", 0.5), ("b", 0.5), ("c", 0.9), ("d", float("nan")), ("e", None)], "user_id string, propensity_score double")
 
@@ -117,9 +117,20 @@ def test_top_k_flags(spark, monkeypatch):
     expected = {0: "", 1: "c", 2: "ac", 3: "abc", 4: "abcd", 99: "abcde"}
     assert {k: flagged(k) for k in expected} == expected
     assert targeting.flag_top_k(df, 2).count() == 5
-    monkeypatch.setattr(targeting, "TOP_K_IN_ONE_TASK", 0)  # the distributed way for a large k
-    assert {k: flagged(k) for k in expected} == expected
-    assert rows(targeting.top_users(df, 2), "user_id") == [("a",), ("c",)]
+    assert [r.user_id for r in targeting.top_users(df, 4).collect()] == ["c", "a", "b", "d"]
+
+
+def test_top_k_keeps_scores_that_a_double_cannot_tell_apart(spark):
+    df = spark.createDataFrame([("a", 9007199254740992), ("b", 9007199254740993), ("c", None)], "key string, s long")
+    assert rows(targeting.flag_top_k(df, 1, "s", "key").where("is_top_k"), "key") == [("b",)]
+    low = spark.createDataFrame([("a", None), ("b", float("-inf"))], "key string, s double")
+    assert rows(targeting.flag_top_k(low, 1, "s", "key").where("is_top_k"), "key") == [("b",)]
+
+
+def test_quantile_cut_moves_only_score_and_key(spark):
+    df = spark.range(200).selectExpr("id AS key", "id % 7 AS score", "repeat('x', 10) AS wide")
+    plan = rank.quantile_cut(df, "score", "key")._jdf.queryExecution().executedPlan().toString()
+    assert not any("wide" in line for line in plan.splitlines() if "Exchange" in line)
 
 
 def test_accuracy_ignores_missing(spark):
