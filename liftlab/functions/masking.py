@@ -11,8 +11,9 @@ EMAIL_MASK = "****"
 ACCOUNT_MASK = "ACCT-****"
 ACCOUNT_DIGITS_KEPT = 4
 RAW_PATTERNS = {
-    "email": "^[^@*]+@[^@]+$",
-    "account_ref": "^ACCT-[0-9]{5,}$",
+    # anywhere in a text; a mask ends in * before the @ or has no five digits
+    "email": "[^@*\\s]@[^@\\s]",
+    "account_ref": "ACCT-[0-9]{5,}",
 }
 
 

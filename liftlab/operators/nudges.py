@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from liftlab import session
 from liftlab.operators import quality, targeting
 from liftlab.settings import PRODUCT_LABELS
 
@@ -18,13 +19,6 @@ TEMPLATE = ("Based on your recent activity, {label} on {brand} may be a good fit
             "Explore it in the app when you are ready.")
 GENERATED = "llm_personalized"
 TEMPLATED = "templated"
-PROMPT = (
-    "Write one friendly two-sentence message for a user of {brand} who may want to try {label}. "
-    "About the user: tier {tier}, risk appetite {risk_profile}, age {age_band}, "
-    "{trades_total} trades so far, {active_days} active days. "
-    "Do not promise returns, do not give financial advice, use no emojis, say \"you\", "
-    "stay below 45 words."
-)
 # Rules that a finished text has to keep, as SQL predicates on nudge_text.
 GUARDRAILS = {
     "at_most_45_words": "size(split(trim(nudge_text), '[ \\t\\n]+')) <= 45",
@@ -34,6 +28,16 @@ GUARDRAILS = {
 }
 
 
+# Columns of a user that a prompt lists unless the caller names others.
+PROFILE = ("tier", "risk_profile", "age_band", "trades_total", "active_days")
+
+
+def prompt_text(profile: Sequence[str] = PROFILE, rules: Sequence[str] = tuple(GUARDRAILS)) -> str:
+    """Offer, brand, the given columns and the names of the rules that the answer is checked by."""
+    facts = "; ".join(f"{c}={{{c}}}" for c in profile)
+    return f"offer={{label}}; brand={{brand}}; {facts}; rules={','.join(rules)}"
+
+
 def product_label(product: str = "recommended_product",
                   labels: Mapping[str, str] = PRODUCT_LABELS) -> Column:
     """The spoken name of a product; NULL for an unknown one."""
@@ -63,10 +67,11 @@ def template(recs: DataFrame, brand: str = "our platform", name: str = "nudge_te
     return recs.withColumn(name, _fill(TEMPLATE, values))
 
 
-def prompt(recs: DataFrame, brand: str = "our platform", text: str = PROMPT,
+def prompt(recs: DataFrame, brand: str = "our platform", text: str | None = None,
            name: str = "prompt") -> DataFrame:
+    """``text`` (by default ``prompt_text()``) with its {names} filled from the row."""
     values = {c: F.col(c) for c in recs.columns}
-    return recs.withColumn(name, _fill(text, {**values, "label": product_label(), "brand": F.lit(brand)}))
+    return recs.withColumn(name, _fill(text or prompt_text(), {**values, "label": product_label(), "brand": F.lit(brand)}))
 
 
 def generate(prompts: DataFrame, generator: Generator, key: str = "user_id") -> DataFrame:
@@ -86,14 +91,13 @@ def assemble(recs: DataFrame, generator: Generator, k: int = 750, brand: str = "
     """Recommendations with label, text and source of the text.
 
     Only the k best users reach the generator, spread over ``parallel_calls`` tasks. Its texts
-    are joined back by the unique key: broadcast while k is small, else as Catalyst decides. A
-    user for whom the generator returned nothing gets the template, and the source says so.
+    are written before they are used, so that each prompt is sent once however often the result is
+    read, and joined back by the unique key as Catalyst decides from their size. A user for whom
+    the generator returned nothing gets the template, and the source says so.
     """
-    best = targeting.top_users(recs, k)
+    best = targeting.top_users(recs, k, key=key)
     texts = generate(prompt(best, brand).select(key, "prompt").repartition(parallel_calls), generator, key)
-    texts = texts.withColumnRenamed("nudge_text", "_generated")
-    if k <= targeting.TOP_K_IN_ONE_TASK:
-        texts = F.broadcast(texts)
+    texts = session.written(texts, "texts").withColumnRenamed("nudge_text", "_generated")
     joined = template(with_label(recs), brand, "_template").join(texts, key, "left")
     return joined.withColumns({
         "nudge_text": F.coalesce("_generated", "_template"),

@@ -7,15 +7,15 @@ from dataclasses import dataclass
 
 # Product codes, their catalog entries and labels.
 CATALOG = [
-    # product, category, launch, fee_bps, description
-    ("equities", "core", "legacy", 0, "US equities without commission"),
-    ("etf", "core", "legacy", 0, "Exchange-traded funds"),
-    ("mutual_funds", "core", "legacy", 25, "Managed mutual funds"),
-    ("crypto", "new_launch", "at_launch", 40, "Spot crypto trading"),
-    ("options", "new_launch", "at_launch", 30, "Equity options"),
-    ("agentic", "new_launch", "at_launch", 50, "Trading assistant"),
+    # product, category, fee_bps
+    ("equities", "core", 0),
+    ("etf", "core", 0),
+    ("mutual_funds", "core", 25),
+    ("crypto", "new_launch", 40),
+    ("options", "new_launch", 30),
+    ("agentic", "new_launch", 50),
 ]
-CATALOG_SCHEMA = "product STRING, category STRING, launch STRING, fee_bps INT, description STRING"
+CATALOG_SCHEMA = "product STRING, category STRING, fee_bps INT"
 PRODUCT_LABELS = {
     "crypto": "crypto trading",
     "options": "options trading",

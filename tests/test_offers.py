@@ -53,7 +53,7 @@ def _recs(spark):
 
 def test_missing_profile_value_does_not_empty_the_prompt(spark):
     text = nudges.prompt(_recs(spark)).first().prompt
-    assert "unknown active days" in text and "crypto trading" in text
+    assert "active_days=unknown" in text and "crypto trading" in text
 
 
 def test_generated_for_the_top_templated_for_the_rest(spark):
@@ -66,6 +66,25 @@ def test_generated_for_the_top_templated_for_the_rest(spark):
     assert rows(got.where("nudge_source = 'llm_personalized'"), "user_id") == [("u0",), ("u1",)]
 
 
+def test_each_prompt_is_sent_once(spark):
+    sent = spark.sparkContext.accumulator(0)
+
+    def write(prompts: pd.Series) -> pd.Series:
+        sent.add(len(prompts))
+        return prompts.map(lambda _: "you")
+
+    got = nudges.assemble(_recs(spark), write, k=2)
+    got.count(), got.collect()
+    assert sent.value == 2
+
+
+def test_audit_finds_data_inside_a_sentence(spark):
+    df = spark.createDataFrame([("Your account ACCT-1945446949 is ready",), ("** mail joe@x.com",),
+                                ("a@b.c and d@e.f",), ("****@x.com ACCT-****1234",), (None,)], "t string")
+    got = {r.kind: r.violations for r in privacy.audit_table(df, "x").collect()}
+    assert got == {"email": 2, "account_ref": 1}
+
+
 def test_silent_generator_falls_back_to_the_template(spark):
     got = nudges.assemble(_recs(spark), lambda prompts: prompts.map(lambda _: None), k=3)
     assert rows(reports.nudge_split(got)) == [("templated", 5)]
