@@ -11,14 +11,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from liftlab.functions import timing
+from liftlab.functions import numeric, timing
 from liftlab.operators import dedup, quality
 
 USER_RULES = {"valid_user": "user_id IS NOT NULL"}
 EVENT_RULES = {"valid_event_id": "event_id IS NOT NULL", "valid_user": "user_id IS NOT NULL"}
 ASSIGNMENT_RULES = {"valid_assignment": "experiment_id IS NOT NULL AND user_id IS NOT NULL"}
 
-ARRIVAL = ("_ingested_at", "_source_file")
+# Counted in a refresh, but the rows stay: a NULL takes the unreadable value's place.
+EVENT_WARNINGS = {"readable_time": "event_ts IS NULL OR try_cast(event_ts AS TIMESTAMP_NTZ) IS NOT NULL",
+                  "finite_amount": "amount_usd IS NULL OR abs(try_cast(amount_usd AS DOUBLE)) < double('Infinity')"}
+
+ARRIVAL = ("_ingested_at", "_file_time", "_source_file")
 
 
 def _newest(df: DataFrame, keys: Sequence[str], arrival: Sequence[str] | None) -> DataFrame:
@@ -29,14 +33,14 @@ def _newest(df: DataFrame, keys: Sequence[str], arrival: Sequence[str] | None) -
 def type_users(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "signup_date": timing.parse_date("signup_date"),
-        "account_balance_usd": F.col("account_balance_usd").try_cast("double"),
+        "account_balance_usd": numeric.finite(F.col("account_balance_usd").try_cast("double")),
     })
 
 
 def type_events(df: DataFrame, launch: str) -> DataFrame:
     typed = df.withColumns({
         "event_ts": timing.parse_timestamp("event_ts"),
-        "amount_usd": F.col("amount_usd").try_cast("double"),
+        "amount_usd": numeric.finite(F.col("amount_usd").try_cast("double")),
     })
     return flag_launch(typed, launch)
 

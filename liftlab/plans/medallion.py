@@ -4,24 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from liftlab.operators import experiments, features, privacy, silver, sinks
+from liftlab.operators import dedup, experiments, features, privacy, quality, silver, sinks
 from liftlab.settings import Settings
+from liftlab.sources import files
 from liftlab.streaming import ingest
 
 
+CATALOG_RULES = {"valid_product": "product IS NOT NULL"}
+# A line that could not be read has no columns to judge by.
+READABLE = {"readable_line": f"{files.CORRUPT} IS NULL"}
+
+
 @dataclass(frozen=True)
 class Feeds:
     users: ingest.Feed
     events: ingest.Feed
     assignments: ingest.Feed
+    catalog: ingest.Feed | None = None
 
     def all(self) -> list[ingest.Feed]:
-        return [self.users, self.events, self.assignments]
+        feeds = [self.users, self.events, self.assignments]
+        return feeds if self.catalog is None else [*feeds, self.catalog]
 
 
 @dataclass
@@ -32,15 +42,38 @@ class Layers:
     features: DataFrame
     results: DataFrame
     secure_users: DataFrame
+    #: feed, rule, passed, failed; over all deliveries, before the newest one per key is chosen
+    rule_counts: DataFrame
+    #: per feed the rows that a rule kept out of silver, with the names of these rules
+    quarantine: Mapping[str, DataFrame]
+    catalog: DataFrame | None = None
 
 
 def refresh(spark: SparkSession, feeds: Feeds, base: str, settings: Settings) -> Layers:
     """One full refresh. Each layer is written before the next one reads it, so no layer is
-    computed twice; running it again without new files gives the same tables."""
+    computed twice; running it again without new files gives the same tables.
+
+    No delivered row is lost silently: it is in silver, superseded by a newer row of its key, or
+    in quarantine. A feed without files gives empty tables.
+    """
     ingest.run_once(spark, feeds.all(), base)
+    rules = {
+        feeds.users.name: silver.USER_RULES, feeds.events.name: silver.EVENT_RULES,
+        feeds.assignments.name: silver.ASSIGNMENT_RULES}
+    if feeds.catalog is not None:
+        rules[feeds.catalog.name] = CATALOG_RULES
+    bronze = {feed.name: ingest.bronze(spark, base, feed) for feed in feeds.all()}
+    strict = {name: {**(READABLE if files.CORRUPT in bronze[name].columns else {}), **own}
+              for name, own in rules.items()}
+    split = {name: quality.split(bronze[name], strict[name]) for name in bronze}
 
-    def bronze(feed: ingest.Feed) -> DataFrame:
-        return ingest.bronze(spark, base, feed)
+    def good(feed: ingest.Feed) -> DataFrame:
+        return split[feed.name][0].drop(files.CORRUPT)
+
+    def counts(name: str) -> DataFrame:
+        warnings = silver.EVENT_WARNINGS if name == feeds.events.name else {}
+        report = quality.expectation_report(bronze[name], {**strict[name], **warnings})
+        return report.select(F.lit(name).alias("feed"), "*")
 
     def side_by_side(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
         """Write independent tables at the same time: one's stragglers leave cores to the others."""
@@ -51,14 +84,21 @@ def refresh(spark: SparkSession, feeds: Feeds, base: str, settings: Settings) ->
         with ThreadPool(len(tables)) as pool:
             return pool.map(write, tables.items())
 
-    users, events, assignments = side_by_side({
-        "silver/users": silver.users(bronze(feeds.users)),
-        "silver/events": silver.events(bronze(feeds.events), settings.launch),
-        "silver/assignments": silver.assignments(bronze(feeds.assignments)),
-    })
+    tables = {
+        "silver/users": silver.users(good(feeds.users)),
+        "silver/events": silver.events(good(feeds.events), settings.launch),
+        "silver/assignments": silver.assignments(good(feeds.assignments)),
+        "quality/rule_counts": reduce(DataFrame.unionByName, [counts(name) for name in bronze]),
+        **{f"quarantine/{name}": bad for name, (_, bad) in split.items()},
+    }
+    if feeds.catalog is not None:
+        tables["silver/catalog"] = dedup.latest(good(feeds.catalog), ["product"], silver.ARRIVAL)
+    written = dict(zip(tables, side_by_side(tables)))
+    users, events, assignments = (written[f"silver/{name}"] for name in ("users", "events", "assignments"))
     gold, secure = side_by_side({
         "gold/user_features": features.user_features(users, events, assignments, settings),
         "gold/users_secure": privacy.secure_view(users),
     })
     results = sinks.replace(experiments.results(gold, settings), f"{base}/gold/experiment_results")
-    return Layers(users, events, assignments, gold, results, secure)
+    return Layers(users, events, assignments, gold, results, secure, written["quality/rule_counts"],
+                  {name: written[f"quarantine/{name}"] for name in bronze}, written.get("silver/catalog"))

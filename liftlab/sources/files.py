@@ -7,16 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# The landing schemas.
-USERS = ("user_id BIGINT, signup_date STRING, tier STRING, region STRING, age_band STRING, "
+# The landing schemas. Keys are text: a feed may number its rows or not.
+USERS = ("user_id STRING, signup_date STRING, tier STRING, region STRING, age_band STRING, "
          "risk_profile STRING, kyc_status STRING, account_balance_usd STRING, email STRING, "
          "account_ref STRING")
-EVENTS = ("event_id BIGINT, user_id BIGINT, event_ts STRING, event_type STRING, product STRING, "
+EVENTS = ("event_id STRING, user_id STRING, event_ts STRING, event_type STRING, product STRING, "
           "amount_usd STRING, session_id STRING")
-ASSIGNMENTS = ("experiment_id STRING, product STRING, user_id BIGINT, variant STRING, "
+ASSIGNMENTS = ("experiment_id STRING, product STRING, user_id STRING, variant STRING, "
                "assigned_ts STRING")
 
 
+#: Where a CSV or JSON line that does not fit its schema is kept as it came.
+CORRUPT = "_corrupt_record"
+
+
 def infer_schema(spark: SparkSession, path: str, fmt: str, share: float = 1.0) -> StructType:
     """Typed inference over existing files, done once; streams then get a fixed schema.
 

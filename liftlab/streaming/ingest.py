@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from liftlab.operators import quality
 from liftlab.sources import files
@@ -34,15 +35,31 @@ class Feed:
 
 
 def stamp(df: DataFrame) -> DataFrame:
-    """Arrival time (one per micro-batch) and file, which together order re-deliveries."""
+    """Arrival time (one per micro-batch), and the file with its time, by which re-deliveries are
+    ordered: inside one batch the later file wins, whatever its name."""
     return df.withColumns({
-        "_ingested_at": F.current_timestamp(), "_source_file": F.col("_metadata.file_path")})
+        "_ingested_at": F.current_timestamp(),
+        "_file_time": F.col("_metadata.file_modification_time"),
+        "_source_file": F.col("_metadata.file_path")})
+
+
+def landing_schema(feed: Feed) -> StructType:
+    """The feed's columns, and for text formats one that keeps lines which cannot be read."""
+    schema = StructType.fromDDL(feed.schema) if isinstance(feed.schema, str) else feed.schema
+    if feed.fmt == "parquet" or files.CORRUPT in schema.fieldNames():
+        return schema
+    return StructType([*schema.fields, StructField(files.CORRUPT, StringType())])
+
+
+def bronze_schema(feed: Feed) -> StructType:
+    return StructType([*landing_schema(feed).fields, StructField("_ingested_at", TimestampType()),
+                       StructField("_file_time", TimestampType()), StructField("_source_file", StringType())])
 
 
 def open_feed(spark: SparkSession, feed: Feed) -> DataFrame:
     readers: dict[str, Callable[..., DataFrame]] = {
         "csv": files.csv_stream, "json": files.json_stream, "parquet": files.parquet_stream}
-    return readers[feed.fmt](spark, feed.landing, feed.schema, **feed.options)
+    return readers[feed.fmt](spark, feed.landing, landing_schema(feed), **feed.options)
 
 
 def append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -66,14 +83,26 @@ def bronze_path(base: str, name: str) -> str:
 
 
 def run_once(spark: SparkSession, feeds: list[Feed], base: str) -> Mapping[str, int]:
-    """Ingest everything new of all feeds side by side; returns rows read per feed."""
-    running = {feed.name: to_bronze(spark, feed, base) for feed in feeds}
-    rows = {}
-    for name, query in running.items():
+    """Ingest everything new of all feeds side by side; returns rows added per feed.
+
+    Rows are counted in the tables (from file footers): a query remembers its last hundred
+    micro-batches only.
+    """
+    before = {feed.name: _rows(spark, base, feed) for feed in feeds}
+    for query in [to_bronze(spark, feed, base) for feed in feeds]:
         query.awaitTermination()
-        rows[name] = sum(p["numInputRows"] for p in query.recentProgress)
-    return rows
+    return {feed.name: _rows(spark, base, feed) - before[feed.name] for feed in feeds}
+
+
+def _rows(spark: SparkSession, base: str, feed: Feed) -> int:
+    try:
+        return bronze(spark, base, feed).count()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0  # the first run
 
 
 def bronze(spark: SparkSession, base: str, feed: Feed) -> DataFrame:
-    return spark.read.parquet(bronze_path(base, feed.name))
+    """The bronze table; empty, with all columns, as long as its feed brought nothing."""
+    return spark.read.schema(bronze_schema(feed)).parquet(bronze_path(base, feed.name))

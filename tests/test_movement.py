@@ -37,6 +37,7 @@ def test_number_of_output_files(spark, tmp_path):
 
 
 def _land(spark, feed, lines, schema):
+    lines = [tuple(None if v is None else str(v) for v in line) for line in lines]
     writer = spark.createDataFrame(lines, schema).coalesce(1).write.mode("append")
     if feed.fmt == "csv":
         writer.option("header", True).csv(feed.landing)
@@ -75,6 +76,23 @@ def test_refresh_restart_and_redelivery(spark, tmp_path):
     assert ingest.run_once(spark, feeds.all(), base) == {"users": 0, "events": 0, "assignments": 0}
 
 
+def test_refresh_without_files_and_with_broken_lines(spark, tmp_path):
+    base, feeds = str(tmp_path), _feeds(str(tmp_path))
+    for feed in feeds.all():
+        sinks.json(spark.range(0), feed.landing)
+    empty = medallion.refresh(spark, feeds, base, SETTINGS)
+    assert empty.features.count() == 0 and empty.results.count() == 0
+    assert {r.passed + r.failed for r in empty.rule_counts.collect()} == {0}
+    spark.createDataFrame([("{broken",), ('{"event_id": "e1", "user_id": "u1", "amount_usd": "NaN"}',)], "value string") \
+        .write.mode("append").text(feeds.events.landing)
+    later = medallion.refresh(spark, feeds, base, SETTINGS)
+    assert rows(later.quarantine["events"], "_corrupt_record", "failed_rules") == [
+        ("{broken", "readable_line,valid_event_id,valid_user")]
+    assert rows(later.events, "event_id", "amount_usd") == [("e1", None)]
+    failed = {r.rule: r.failed for r in later.rule_counts.where("feed = 'events'").collect()}
+    assert failed == {"readable_line": 1, "valid_event_id": 1, "valid_user": 1, "readable_time": 0, "finite_amount": 1}
+
+
 def test_stream_drops_and_counts(spark, tmp_path):
     feed = _feeds(str(tmp_path)).events
     _land(spark, feed, [(1, 1, "t", "login", None, None, "s"), (2, None, "t", "login", None, None, "s")], files.EVENTS)
