@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from liftlab import session
 from liftlab.functions import numeric
 
 
@@ -72,26 +74,27 @@ def cohort_propensity(recs: DataFrame, dims: Sequence[str], product: str) -> Dat
 
 
 def funnel(events: DataFrame, steps: Sequence[str], product: str | None = None) -> DataFrame:
-    """Users reaching each step in order, by the first time of every step.
+    """Users reaching each step in order: a step counts from its first time at or after the one before.
 
-    One partial aggregation per user: a user's events never meet in one task as rows.
+    Per step one join with a row per user and one partial aggregation: a user's events never have
+    to meet in one task, as AQE splits the join of a hot user.
     """
     seen = events if product is None else events.where(
         (F.col("product") == product) | F.col("product").isNull())
-    first = seen.groupBy("user_id").agg(*[
-        F.min(F.when(F.col("event_type") == s, F.col("event_ts"))).alias(f"t{i}")
-        for i, s in enumerate(steps)])
-    reached = F.col("t0").isNotNull()
-    counts = [F.count_if(reached).alias("r0")]
-    for i in range(1, len(steps)):
-        reached = reached & (F.col(f"t{i}") >= F.col(f"t{i - 1}"))
-        counts.append(F.count_if(reached).alias(f"r{i}"))
-    wide = first.agg(*counts)
-    rows = F.array(*[
-        F.struct(F.lit(i + 1).alias("step_no"), F.lit(s).alias("step"), F.col(f"r{i}").alias("users"),
-                 numeric.share_pct(F.col(f"r{i}"), F.col("r0")).alias("pct_of_first"))
-        for i, s in enumerate(steps)])
-    return wide.select(F.inline(rows))
+    seen = seen.where("user_id IS NOT NULL").select("user_id", "event_type", "event_ts")
+    reached, counts = None, []
+    for i, step in enumerate(steps):
+        at = seen.where((F.col("event_type") == step) & F.col("event_ts").isNotNull())
+        if reached is not None:
+            at = at.join(reached, "user_id").where("event_ts >= _since")
+        reached = at.groupBy("user_id").agg(F.min("event_ts").alias("_since"))
+        if i + 1 < len(steps):
+            reached = session.written(reached, "funnel")  # read by its count and by the next step
+        counts.append(reached.agg(F.count(F.lit(1)).alias("users")).select(
+            F.lit(i + 1).alias("step_no"), F.lit(step).alias("step"), "users"))
+    table = reduce(DataFrame.unionByName, counts)
+    first = F.first("users").over(Window.orderBy("step_no"))  # one row per step
+    return table.withColumn("pct_of_first", numeric.share_pct(F.col("users"), first))
 
 
 def kpis(product_mix: DataFrame, lifts: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,14 +59,21 @@ def jdbc_lookup(spark: SparkSession, url: str, table: str, key: str, value: obje
 
 def lookup(spark: SparkSession, table: str, key: str, value: object,
            fallback: DataFrame | None = None) -> DataFrame:
-    """One key from the serving table, or from ``fallback`` if there is no such table."""
+    """One key from the serving table, or from ``fallback`` if that table cannot be read.
+
+    With a fallback the row is fetched here, as lost files show only when they are read; one key
+    is one row. Without one the lookup stays lazy and any failure reaches the caller.
+    """
+    def found(source: DataFrame) -> DataFrame:
+        return source.where(F.col(key) == F.lit(value))
+
+    if fallback is None:
+        return found(spark.table(table))
     try:
-        source = spark.table(table)
-    except AnalysisException:
-        if fallback is None:
-            raise
-        source = fallback
-    return source.where(F.col(key) == F.lit(value))
+        served = found(spark.table(table))
+        return spark.createDataFrame(served.collect(), served.schema)
+    except PySparkException:
+        return found(fallback)
 
 
 def query(spark: SparkSession, text: str, args: Mapping[str, object] | None = None,

@@ -39,3 +39,11 @@ def stream_by_gap(events: DataFrame, gap: str, delay: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("events"), F.max("event_ts").alias("session_end"))
         .select("user_id", F.col("w.start").alias("session_start"), "session_end", "events")
     )
+
+
+def open_tail(events: DataFrame, closed: DataFrame, gap_seconds: int) -> DataFrame:
+    """Sessions that a stream has not closed yet: those of the events after each user's last
+    closed one. Together with ``closed`` they are all sessions of ``events``."""
+    done = closed.groupBy("user_id").agg(F.max("session_end").alias("_done"))
+    rest = events.join(done, "user_id", "left").where("_done IS NULL OR event_ts > _done")
+    return by_gap(rest.drop("_done"), gap_seconds).drop("session_no")

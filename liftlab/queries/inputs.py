@@ -6,12 +6,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from liftlab import session
 from liftlab.operators import experiments, features, nudges, recommend
 from liftlab.sources import roles
 
 SETTINGS = roles.SETTINGS
 PRODUCTS = SETTINGS.products
-TOP_K = 100
+TOP_K = 750
 
 
 def user_features(spark: SparkSession, sf: str, settings=SETTINGS) -> DataFrame:
@@ -39,7 +40,8 @@ def valued(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def recommendations(spark: SparkSession, sf: str) -> DataFrame:
-    return recommend.recommendations(scored(spark, sf), roles.catalog(spark), SETTINGS)
+    # ranked first, then compared with the group borders: two passes over one written table
+    return recommend.recommendations(session.written(scored(spark, sf), "scored"), roles.catalog(spark), SETTINGS)
 
 
 def write_text(prompts: pd.Series) -> pd.Series:

@@ -28,6 +28,12 @@ def _event_feed(base: str) -> ingest.Feed:
     return ingest.Feed("events", "json", f"{base}/landing/events", files.EVENTS)
 
 
+def _numbered(events):
+    """Landed events with their keys, which are text in a landing table, as the numbers they were."""
+    return events.select(*roles.EVENT_COLUMNS).withColumns({
+        c: F.col(c).cast("bigint") for c in ("event_id", "user_id")})
+
+
 @query("stream_ingest", sql.select(sql.EVENTS, f"select {_LANDED} from ev"))
 def stream_ingest(spark, sf):
     """JSON files to bronze; the second run finds nothing new and must add nothing."""
@@ -36,7 +42,7 @@ def stream_ingest(spark, sf):
     sinks.json(roles.landed_events(spark, sf), feed.landing)
     ingest.run_once(spark, [feed], base)
     ingest.run_once(spark, [feed], base)
-    return ingest.bronze(spark, base, feed).select(*roles.EVENT_COLUMNS)
+    return _numbered(ingest.bronze(spark, base, feed))
 
 
 @query("stream_csv_ingest", sql.select(sql.USERS, f"select {sql.PROFILE}, email, account_ref from users"))
@@ -47,7 +53,7 @@ def stream_csv_ingest(spark, sf):
     sinks.csv(roles.users(spark, sf), landing)
     feed = ingest.Feed("users", "csv", landing, files.infer_schema(spark, landing, "csv"))
     ingest.run_once(spark, [feed], base)
-    return ingest.bronze(spark, base, feed).drop(*silver.ARRIVAL)
+    return ingest.bronze(spark, base, feed).drop(*silver.ARRIVAL, files.CORRUPT)
 
 
 _SWAPPED = sql.LONG.replace(
@@ -81,6 +87,124 @@ def stream_refresh(spark, sf):
     return medallion.refresh(spark, feeds, base, SETTINGS).results
 
 
+def _prefixed(df, **keys):
+    return df.withColumns({c: F.concat(F.lit(prefix), F.col(c).cast("string")) for c, prefix in keys.items()})
+
+
+def _feeds(spark, base) -> medallion.Feeds:
+    """All four feeds; their landing folders exist, also where nothing is delivered."""
+    feeds = medallion.Feeds(
+        ingest.Feed("users", "csv", f"{base}/landing/users", files.USERS), _event_feed(base),
+        ingest.Feed("assignments", "csv", f"{base}/landing/assignments", files.ASSIGNMENTS),
+        ingest.Feed("catalog", "json", f"{base}/landing/catalog", CATALOG_SCHEMA))
+    for feed in feeds.all():
+        sinks.json(spark.range(0), feed.landing)  # no rows, and so no line
+    return feeds
+
+
+def _land_users(spark, sf, feeds, **keys):
+    users = _prefixed(roles.users(spark, sf), **keys)
+    users.write.mode("append").options(header=True, **sinks.TEXT_TIMES).csv(feeds.users.landing)
+    assigned = _prefixed(roles.silver_assignments(spark, sf), **keys).withColumn(
+        "assigned_ts", F.substring(F.col("assigned_ts").cast("string"), 1, 19))
+    (assigned.select("experiment_id", "product", "user_id", "variant", "assigned_ts")
+     .write.mode("append").option("header", True).csv(feeds.assignments.landing))
+
+
+@query("landing_string_keys", sql.select(sql.FEATURES, f"""
+, paid as (select user_id, {sql.money("cast(amount_usd as decimal(18,2)) + 1.00::decimal(18,2)")} as paid from ev
+  where event_type = 'deposit' and not is_post_launch group by user_id)
+select 'U-' || feats.user_id as user_id, events_total, trades_total, sessions_total,
+ coalesce(paid, 0) as deposit_total_usd, adopted_crypto, variant_options
+from feats left join paid on paid.user_id = feats.user_id"""))
+def landing_string_keys(spark, sf):
+    """Keys that are no numbers, through a whole refresh; all deposits are then corrected by a
+    second delivery."""
+    base = session.fresh_path(spark, "string-keys")
+    feeds = _feeds(spark, base)
+    _land_users(spark, sf, feeds, user_id="U-")
+    roles.catalog(spark).write.mode("append").json(feeds.catalog.landing)
+    events = _prefixed(roles.landed_events(spark, sf), event_id="E-", user_id="U-")
+    events.write.mode("append").json(feeds.events.landing)
+    medallion.refresh(spark, feeds, base, SETTINGS)
+    corrected = events.where("event_type = 'deposit'").withColumn(
+        "amount_usd", F.expr("CAST(CAST(amount_usd AS DECIMAL(18,2)) + 1.00 AS STRING)"))
+    corrected.write.mode("append").json(feeds.events.landing)
+    return medallion.refresh(spark, feeds, base, SETTINGS).features.select(
+        "user_id", "events_total", "trades_total", "sessions_total", "deposit_total_usd",
+        "adopted_crypto", "variant_options")
+
+
+def _faulty_refresh(spark, sf, label) -> medallion.Layers:
+    """Of 50 events one line is broken, one lacks its event_id and one its user_id; no catalog comes."""
+    base = session.fresh_path(spark, label)
+    feeds = _feeds(spark, base)
+    _land_users(spark, sf, feeds)
+    nth = F.col("event_id") % 50
+    landed = roles.landed_events(spark, sf)
+    ids = {"event_id": F.when(nth != 1, F.col("event_id")), "user_id": F.when(nth != 2, F.col("user_id"))}
+    line = F.to_json(F.struct(*[ids.get(c, F.col(c)).alias(c) for c in landed.columns]))
+    broken = F.concat(F.lit("#"), F.substring(line, 1, 20))
+    landed.select(F.when(nth == 0, broken).otherwise(line).alias("value")).write.mode("append").text(
+        feeds.events.landing)
+    return medallion.refresh(spark, feeds, base, SETTINGS)
+
+
+@query("refresh_quarantine", sql.select(sql.EVENTS, """
+select case when event_id % 50 = 2 then event_id end as event_id, case when event_id % 50 = 1 then user_id end as user_id,
+ case when event_id % 50 > 0 then event_type end as event_type,
+ case event_id % 50 when 0 then 'readable_line,valid_event_id,valid_user' when 1 then 'valid_event_id'
+  else 'valid_user' end as failed_rules
+from ev where event_id % 50 < 3"""))
+def refresh_quarantine(spark, sf):
+    """Rows that the refresh keeps out of silver, with their reasons."""
+    bad = _faulty_refresh(spark, sf, "quarantine").quarantine["events"]
+    return bad.select(F.col("event_id").cast("bigint"), F.col("user_id").cast("bigint"), "event_type", "failed_rules")
+
+
+@query("refresh_rule_counts", sql.select(sql.EVENTS, """
+, n as (select (select count(*) from customer) as u, count(*) as e, count(*) filter (event_id % 50 = 0) as b,
+  count(*) filter (event_id % 50 < 2) as i, count(*) filter (event_id % 50 in (0, 2)) as w from ev)
+select 'users' as feed, unnest(['readable_line', 'valid_user']) as rule, u as passed, 0::bigint as failed from n
+union all select 'assignments', unnest(['readable_line', 'valid_assignment']), 3 * u, 0 from n
+union all select 'catalog', unnest(['readable_line', 'valid_product']), 0, 0 from n
+union all select 'events', 'readable_line', e - b, b from n
+union all select 'events', 'valid_event_id', e - i, i from n
+union all select 'events', 'valid_user', e - w, w from n
+union all select 'events', unnest(['readable_time', 'finite_amount']), e, 0 from n"""))
+def refresh_rule_counts(spark, sf):
+    """Passed and failed rows per feed and rule; the catalog feed is empty."""
+    return _faulty_refresh(spark, sf, "rule-counts").rule_counts
+
+
+@query("ingest_row_count", sql.select(sql.USERS, "select count(*) as rows_reported, count(*) as rows_stored from users"))
+def ingest_row_count(spark, sf):
+    """More micro-batches than a query remembers; rows reported and rows stored."""
+    base = session.fresh_path(spark, "row-count")
+    feed = ingest.Feed("users", "csv", f"{base}/landing", files.USERS, {"maxFilesPerTrigger": 1})
+    sinks.csv(roles.users(spark, sf), feed.landing, files=110)
+    reported = ingest.run_once(spark, [feed], base)["users"]
+    return ingest.bronze(spark, base, feed).agg(
+        F.lit(reported).cast("bigint").alias("rows_reported"), F.count(F.lit(1)).alias("rows_stored"))
+
+
+@query("same_batch_redelivery", sql.select(sql.EVENTS, """
+select event_id, cast(cast(amount_usd as decimal(18,2)) + case when event_type = 'trade' then 1.00 else 0.00 end as double)
+ as amount_usd from ev"""))
+def same_batch_redelivery(spark, sf):
+    """All events, then all trades with another amount; both wait when the ingest starts."""
+    base = session.fresh_path(spark, "same-batch")
+    feed = _event_feed(base)
+    landed = roles.landed_events(spark, sf)
+    sinks.json(landed, feed.landing)
+    corrected = landed.where("event_type = 'trade'").withColumn(
+        "amount_usd", F.expr("CAST(CAST(amount_usd AS DECIMAL(18,2)) + 1.00 AS STRING)"))
+    corrected.write.mode("append").json(feed.landing)
+    ingest.run_once(spark, [feed], base)
+    kept = silver.events(ingest.bronze(spark, base, feed), SETTINGS.launch)
+    return kept.select(F.col("event_id").cast("bigint"), "amount_usd")
+
+
 @query("stream_dedup_first", sql.select(sql.EVENTS, f"select {_LANDED} from ev"))
 def stream_dedup_first(spark, sf):
     """Trades are delivered again with other amounts; the stream keeps the first delivery."""
@@ -98,7 +222,7 @@ def stream_dedup_first(spark, sf):
     corrected = landed.where("event_type = 'trade'").withColumn("amount_usd", F.lit("0.00"))
     corrected.write.mode("append").json(feed.landing)
     run()
-    return spark.read.parquet(f"{base}/out").select(*roles.EVENT_COLUMNS)
+    return _numbered(spark.read.parquet(f"{base}/out"))
 
 
 @query("stream_expectations", sql.select(sql.BRONZE_EVENTS, """
@@ -114,7 +238,7 @@ def stream_expectations(spark, sf):
              "readable_time": "try_cast(event_ts AS TIMESTAMP_NTZ) IS NOT NULL",
              "readable_amount": "amount_usd IS NULL OR try_cast(amount_usd AS DOUBLE) IS NOT NULL"}
     ingest.to_bronze(spark, feed, base, rules).awaitTermination()
-    return ingest.bronze(spark, base, feed).select(*roles.EVENT_COLUMNS)
+    return _numbered(ingest.bronze(spark, base, feed))
 
 
 _SESSIONS = """marked as (
@@ -128,18 +252,18 @@ sess as (
 
 
 @query("stream_sessions", sql.select(f"{sql.EVENTS}, {_SESSIONS}", """
-select user_id, session_start, session_end, events from sess
-where session_end + interval 6 hours <= (select max(ts) from events) - interval 1 hour"""))
+select user_id, session_start, session_end, events from sess"""))
 def stream_sessions(spark, sf):
-    """Sessions that the watermark has closed; later ones are still open in the state."""
+    """Sessions that the watermark has closed, and those still open, from the events after them."""
     base = session.fresh_path(spark, "stream-sessions")
     stream = files.parquet_stream(
         spark, sf, roles.load(spark, sf, "events").schema, pathGlobFilter="events.parquet")
     timed = stream.select("user_id", F.col("ts").cast("timestamp").alias("event_ts"))
     closed = sessions.stream_by_gap(timed, "6 hours", "1 hour")
     ingest.append(closed, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/out").withColumns({
+    done = spark.read.parquet(f"{base}/out").withColumns({
         c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    return done.unionByName(sessions.open_tail(roles.events(spark, sf), done, 6 * 3600))
 
 
 # ---------------------------------------------------------------- sinks and serving
@@ -187,7 +311,8 @@ where user_id = 7"""))
 def serving_lookup(spark, sf):
     table = _serving_table(spark, sf)
     found = serving.lookup(spark, table, "user_id", 7).withColumn("served_by", F.lit("serving"))
-    other = serving.lookup(spark, f"{table}_gone", "user_id", 7, fallback=spark.table(table))
+    other = serving.lookup(spark, f"{table}_gone", "user_id", 7,
+                           fallback=inputs.nudged(spark, sf).select(*serving.columns(PRODUCTS)))
     return found.unionByName(other.withColumn("served_by", F.lit("fallback")))
 
 
@@ -305,6 +430,18 @@ def trailing_features(spark, sf):
     return features.trailing(roles.events(spark, sf), SETTINGS.launch, 14)
 
 
+@query("open_holdings", sql.select(sql.EVENTS, f"""
+select user_id, coalesce(string_agg(distinct p, ',' order by p) filter (event_type = 'trade'), '') as product_holdings
+from (select *, product || '-' || k % 20 % 3 as p from ev)
+where event_ts < {sql.LAUNCH} and event_ts >= {sql.LAUNCH} - interval 14 days group by user_id"""))
+def open_holdings(spark, sf):
+    """Products that no catalog lists."""
+    ev = roles.events(spark, sf)
+    k = F.regexp_extract("session_id", "-([0-9]+)$", 1).cast("int")  # k % 20
+    return features.trailing(ev.withColumn("product", F.concat_ws("-", "product", (k % 3).cast("string"))),
+                             SETTINGS.launch, 14).select("user_id", "product_holdings")
+
+
 @query("post_window_labels", sql.select(sql.EVENTS, "select user_id, " + ", ".join(
     f"coalesce(max(1) filter (is_post_launch and event_ts < timestamp '2024-01-24' and event_type = 'trade' "
     f"and product = '{p}'), 0) as adopted_{p}" for p in PRODUCTS) + " from ev group by user_id"))
@@ -328,11 +465,13 @@ def eligible(spark, sf):
 
 
 @query("funnel", sql.select(sql.EVENTS, f"""
-, firsts as (select user_id, min(event_ts) filter (event_type = 'login') as a,
-  min(event_ts) filter (event_type = 'view_product') as b, min(event_ts) filter (event_type = 'trade') as c
- from ev where product = 'crypto' or product is null group by user_id),
-r as (select count(a) as n0, count(*) filter (a is not null and b >= a) as n1,
-  count(*) filter (a is not null and b >= a and c >= b) as n2 from firsts)
+, seen as (select * from ev where product = 'crypto' or product is null),
+a as (select user_id, min(event_ts) as t from seen where event_type = 'login' group by user_id),
+b as (select seen.user_id, min(event_ts) as t from seen join a on a.user_id = seen.user_id
+ where event_type = 'view_product' and event_ts >= a.t group by seen.user_id),
+c as (select seen.user_id, min(event_ts) as t from seen join b on b.user_id = seen.user_id
+ where event_type = 'trade' and event_ts >= b.t group by seen.user_id),
+r as (select (select count(*) from a) as n0, (select count(*) from b) as n1, (select count(*) from c) as n2)
 select 1 as step_no, 'login' as step, n0 as users, {sql.pct('n0', 'n0')} as pct_of_first from r
 union all select 2, 'view_product', n1, {sql.pct('n1', 'n0')} from r
 union all select 3, 'trade', n2, {sql.pct('n2', 'n0')} from r"""))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from liftlab import session
+from liftlab.functions import numeric
 from liftlab.operators import (experiments, metrics, ml, nudges, privacy, rank, recommend,
-                               reports, targeting)
+                               reports, serving, targeting)
 from liftlab.queries import inputs, sql
 from liftlab.queries.registry import query
 from liftlab.sources import roles
@@ -55,7 +56,7 @@ def top_users_product(spark, sf):
 
 
 @query("flag_top_k", sql.select(sql.PICKED, """
-select user_id, propensity_score, row_number() over (order by propensity_score desc, user_id) <= 100 as is_top_k
+select user_id, propensity_score, row_number() over (order by propensity_score desc, user_id) <= 750 as is_top_k
 from picked"""))
 def flag_top_k(spark, sf):
     # read twice (cut-off and comparison), so the scores are written once first
@@ -63,6 +64,25 @@ def flag_top_k(spark, sf):
     return targeting.flag_top_k(scores, inputs.TOP_K)
 
 
+@query("top_k_large", sql.select(sql.EVENTS, """
+select event_id, row_number() over (order by amount_usd desc nulls last, event_id) <= 1001 as in_top, true as in_all from ev"""))
+def top_k_large(spark, sf):
+    """The same method for a large k, and for a k above the number of rows; NULL amounts come last."""
+    amounts = roles.events(spark, sf).select("event_id", "amount_usd")
+    top = targeting.flag_top_k(amounts, 1_001, "amount_usd", "event_id", "in_top")
+    return targeting.flag_top_k(top, 1 << 40, "amount_usd", "event_id", "in_all").drop("amount_usd")
+
+
+@query("large_amount_sums", sql.select(sql.USERS, f"""
+select region, {sql.half_up('cast(sum(user_id) as double) * 1000000000.0::double / count(*)', 2)} as mean_usd,
+ cast(sum(user_id) * 10 as bigint) as sum_in_1e15 from users group by region"""))
+def large_amount_sums(spark, sf):
+    """Amounts whose steps or cents no long can count."""
+    return roles.users(spark, sf).groupBy("region").agg(
+        numeric.mean(F.col("user_id") * F.lit(1e9), 2).alias("mean_usd"),
+        F.round(numeric.money_sum(F.col("user_id") * F.lit(1e16)) / F.lit(1e15)).cast("long").alias("sum_in_1e15"))
+
+
 @query("top_products_per_user", sql.select(sql.SCORES, """
 select user_id, row_number() over (partition by user_id order by prob desc, pos) as place, product, prob
 from (select user_id, 0 as pos, 'crypto' as product, prob_crypto as prob from scores
@@ -214,6 +234,18 @@ def text_label_metrics(spark, sf):
     return metrics.ranking_metrics(long, "n_chars", "label", ["flag"])
 
 
+@query("metrics_with_missing", sql.select(f"{sql.SCORED_LABELS}, "
+    "gaps as (select case when product <> 'crypto' then product end as product, "
+    "case when user_id % 7 > 0 then score end as score, label from sl), "
+    + sql.ranking("gaps", "product"), "select product, roc_auc, avg_precision from metrics"))
+def metrics_with_missing(spark, sf):
+    """A NULL group is a group; NaN scores are left out."""
+    long = inputs.scored_labels(spark, sf).withColumns({
+        "product": F.when(F.col("product") != "crypto", F.col("product")),
+        "score": F.when(F.col("user_id") % 7 > 0, F.col("score")).otherwise(F.lit(float("nan")))})
+    return metrics.ranking_metrics(long, "score", "label", ["product"])
+
+
 @query("cumulative_gains", sql.select(sql.RECS, f"""
 , d as (select targeting_decile, count(*) as users, {sql.money('expected_annual_value_usd')} as value_usd,
   cast(sum(case recommended_product when 'crypto' then adopted_crypto when 'options' then adopted_options
@@ -293,14 +325,38 @@ def secure_view(spark, sf):
     return privacy.secure_view(roles.users(spark, sf))
 
 
-@query("pii_audit", sql.select(sql.USERS, """
-select 'silver_users' as table_name, c as column_name, kind,
- count(*) filter (kind = c) as violations from users
-cross join (values ('tier'), ('region'), ('age_band'), ('risk_profile'), ('kyc_status'), ('email'), ('account_ref')) t(c)
-cross join (values ('email'), ('account_ref')) k(kind) group by c, kind
-union all select 'users_secure', c, kind, 0
-from (values ('tier'), ('region'), ('age_band'), ('risk_profile'), ('kyc_status'), ('email'), ('account_ref')) t(c)
-cross join (values ('email'), ('account_ref')) k(kind)"""))
+_RAW = {"email": "[^@*\\s]@[^@\\s]", "account_ref": "ACCT-[0-9]{5,}"}
+_PROFILE_TEXT = ["tier", "region", "age_band", "risk_profile", "kyc_status"]
+_PUBLISHED = {
+    "silver_users": ("users", [*_PROFILE_TEXT, "email", "account_ref"]),
+    "users_secure": ("secured", [*_PROFILE_TEXT, "email", "account_ref"]),
+    "user_features": ("feats", [*_PROFILE_TEXT, *(f"variant_{p}" for p in PRODUCTS)]),
+    "serving": ("nudged", ["tier", "region", "age_band", "risk_profile", "recommended_product",
+                           "nudge_text", "nudge_source"]),
+}
+
+
+def _audit_sql(name: str, source: str, columns: list[str]) -> str:
+    return " union all ".join(
+        f"select '{name}' as table_name, '{c}' as column_name, '{kind}' as kind,"
+        f" count(*) filter (regexp_matches({c}, '{pattern}')) as violations from {source}"
+        for c in columns for kind, pattern in _RAW.items())
+
+
+@query("pii_audit", sql.select(f"""{sql.NUDGED}, secured as (
+ select * replace (regexp_replace(email, '^[^@]+', '****') as email,
+  'ACCT-****' || right(account_ref, 4) as account_ref) from users)""",
+    " union all ".join(_audit_sql(name, *what) for name, what in _PUBLISHED.items())))
 def pii_audit(spark, sf):
+    """Every published table, its texts to users included."""
     users = roles.users(spark, sf)
-    return privacy.audit({"silver_users": users, "users_secure": privacy.secure_view(users)})
+    return privacy.audit({
+        "silver_users": users, "users_secure": privacy.secure_view(users),
+        "user_features": inputs.user_features(spark, sf),
+        "serving": inputs.nudged(spark, sf).select(*serving.columns(PRODUCTS))})
+
+
+@query("pii_in_text", _audit_sql("documents", "documents", ["text", "lang", "source"]))
+def pii_in_text(spark, sf):
+    """Personal data inside running text."""
+    return privacy.audit_table(roles.load(spark, sf, "documents"), "documents")
