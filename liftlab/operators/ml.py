@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -19,21 +20,31 @@ from liftlab import session
 from liftlab.functions import numeric
 from liftlab.operators import experiments, metrics
 
+# The model inputs.
 CATEGORIES = ("tier", "region", "age_band", "risk_profile", "kyc_status")
 NUMBERS = ("account_balance_usd", "events_total", "trades_total", "logins_total",
            "deposit_total_usd", "sessions_total", "active_days", "tenure_days")
 
-RUN_SCHEMA = ("product STRING, version INT, trees INT, depth INT, n_train BIGINT, roc_auc DOUBLE, "
-              "avg_precision DOUBLE, accuracy DOUBLE, base_rate DOUBLE, finished_at TIMESTAMP")
+RUN_SCHEMA = ("product STRING, version INT, trees INT, depth INT, rate DOUBLE, seed INT, n_features INT, "
+              "n_train BIGINT, roc_auc DOUBLE, avg_precision DOUBLE, accuracy DOUBLE, base_rate DOUBLE, "
+              "finished_at TIMESTAMP")
+# Rows of a training partition: enough for a task to be worth its start.
+_ROWS_A_TASK = 50_000
 
 
 @dataclass(frozen=True)
 class TrainConfig:
+    """max_training_rows: upper bound, in expectation, of the labelled rows that a model is fitted
+    on. Boosting is a chain of jobs over them; above the bound a share of the users is taken by a
+    hash of the key. Scores, holdout metrics of the users left and base rates cover all users.
+    """
+
     trees: int = 200
     depth: int = 3
     rate: float = 0.1
     test_share: float = 0.2
     seed: int = 42
+    max_training_rows: int = 2_000_000
 
 
 def number_columns(products: Sequence[str]) -> list[str]:
@@ -87,6 +98,7 @@ class Propensity:
     models: dict[str, GBTClassificationModel]
     holdout: DataFrame | None = None
     n_train: Mapping[str, int] | None = None
+    base_rates: Mapping[str, float] | None = None
 
 
 def vectors(features: DataFrame, products: Sequence[str]) -> tuple[PipelineModel, DataFrame]:
@@ -108,15 +120,24 @@ def fit_all(features: DataFrame, products: Sequence[str], config: TrainConfig =
     session.scratch_root(spark)  # boosting cuts its lineage there every ten trees
     stages, assembled = vectors(features, products)
     labels = [f"adopted_{p}" for p in products]
-    data = assembled.select("user_id", "features", *labels).persist(StorageLevel.MEMORY_AND_DISK)
+    data = session.written(assembled.select("user_id", "features", *labels), "vectors")
+    seen = data.agg(F.count(F.lit(1)).alias("n"), *[
+        numeric.round_half_up(F.count_if(F.col(label) == 1) / F.count(label), 6).alias(p)
+        for p, label in zip(products, labels)]).first().asDict()
+    n = seen.pop("n")
+    share = min(1.0, config.max_training_rows / max(n, 1))
+    chosen = data if share == 1.0 else data.where(
+        F.pmod(F.xxhash64(F.lit(config.seed), "user_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
+    sample = chosen.repartition(math.ceil(n * share / _ROWS_A_TASK) or 1, "user_id") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
 
     def train(label: str) -> GBTClassificationModel:
-        split = stratified_split(data, label, "user_id", config.test_share, config.seed)
+        split = stratified_split(sample, label, "user_id", config.test_share, config.seed)
         return fit_one(split.where("NOT is_test"), label, config)
 
     try:
         # Counted first, which also fills the cache before the models share it.
-        counts = data.agg(*[
+        counts = sample.agg(*[
             F.count_if(~is_test(label, "user_id", config.test_share, config.seed)).alias(p)
             for p, label in zip(products, labels)]).first()
         # Boosting is a chain of small jobs; the products' chains run side by side.
@@ -124,8 +145,8 @@ def fit_all(features: DataFrame, products: Sequence[str], config: TrainConfig =
             models = dict(zip(products, pool.map(inheritable_thread_target(spark)(train), labels)))
         holdout = session.written(_holdout(models, data, config), "holdout")
     finally:
-        data.unpersist()
-    return Propensity(stages, models, holdout, counts.asDict())
+        sample.unpersist()
+    return Propensity(stages, models, holdout, counts.asDict(), seen)
 
 
 def _holdout(models: Mapping[str, GBTClassificationModel], data: DataFrame, config: TrainConfig) -> DataFrame:
@@ -165,14 +186,22 @@ def holdout_metrics(propensity: Propensity, threshold: float = 0.5) -> DataFrame
 
 
 def record_run(path: str, propensity: Propensity, config: TrainConfig, version: int) -> None:
-    """Measure on the holdout and append one row per product to the run log."""
-    trained = F.lit(None).cast("long")
-    for product, rows in (propensity.n_train or {}).items():
-        trained = F.when(F.col("product") == product, F.lit(rows).cast("long")).otherwise(trained)
+    """Measure on the holdout and append one row per product to the run log; the base rate is
+    that of all users."""
+    def of(values: Mapping[str, object] | None, kind: str) -> Column:
+        result = F.lit(None).cast(kind)
+        for product, value in (values or {}).items():
+            result = F.when(F.col("product") == product, F.lit(value).cast(kind)).otherwise(result)
+        return result
+
+    widths = {product: model.numFeatures for product, model in propensity.models.items()}
     holdout_metrics(propensity).select(
         "product", F.lit(version).alias("version"), F.lit(config.trees).alias("trees"),
-        F.lit(config.depth).alias("depth"), trained.alias("n_train"), "roc_auc", "avg_precision",
-        "accuracy", "base_rate", F.lit(dt.datetime.now(dt.timezone.utc)).alias("finished_at"),
+        F.lit(config.depth).alias("depth"), F.lit(float(config.rate)).alias("rate"),
+        F.lit(config.seed).alias("seed"), of(widths, "int").alias("n_features"),
+        of(propensity.n_train, "long").alias("n_train"), "roc_auc", "avg_precision", "accuracy",
+        of(propensity.base_rates, "double").alias("base_rate"),
+        F.lit(dt.datetime.now(dt.timezone.utc)).alias("finished_at"),
     ).write.mode("append").parquet(path)
 
 

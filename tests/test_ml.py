@@ -54,6 +54,13 @@ def test_unknown_and_null_category_are_all_zeros(spark, features, trained):
         assert row.tier_onehot.size == 3 and row.tier_onehot.numNonzeros() == 0
 
 
+def test_bound_on_training_rows_leaves_scores_and_holdout_whole(features, trained):
+    small = ml.fit_all(features, PRODUCTS, ml.TrainConfig(trees=2, max_training_rows=300))
+    assert 150 < small.n_train["crypto"] < 350
+    assert small.holdout.count() == trained.holdout.count() and ml.score(small, features).count() == 1500
+    assert small.base_rates == trained.base_rates
+
+
 def test_leaking_columns_are_refused():
     for column in ("variant_crypto", "adopted_crypto"):
         with pytest.raises(ValueError):
