@@ -17,9 +17,11 @@ from liftlab.session import written
 
 #: Most labelled rows that lexicon and classifier are fitted on, chosen by a hash of the id.
 FIT_ROWS = 12_000
-#: Most stems of the lexicon, and the evidence each needs: twice its log-likelihood ratio.
+#: Most stems of the lexicon, and what each needs: twice its log-likelihood ratio as evidence, and odds of
+#: being toxic so many times the labels' own. Odds have no upper end, so the bar can be reached at any share.
 LEXICON = 512
 EVIDENCE = 24.0
+ODDS = 4.0
 LEXICON_VOTERS = 8
 CACHED_WORDS = 150_000
 ABSTAIN, TOXIC, CLEAN = 0, 1, 2
@@ -185,7 +187,7 @@ def mine_lexicon(labelled: DataFrame, size: int = LEXICON) -> list[str]:
     counted = labelled.select("text", "toxic").mapInArrow(count, "stem string, bad long, good long") \
         .groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     return [r.stem for r in counted.withColumn("evidence", evidence)
-            .filter((F.col("bad") > 4 * share * held) & (F.col("evidence") >= EVIDENCE))
+            .filter((F.col("bad") * (1 - share) > ODDS * share * F.col("good")) & (F.col("evidence") >= EVIDENCE))
             .orderBy(F.desc("evidence"), "stem").limit(size).collect()]
 
 
@@ -201,7 +203,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     labelled = written(sample(docs, labels, rows).repartition(64), "toxic-sample")
     lexicon = mine_lexicon(labelled)
     if not lexicon:
-        return Model([], np.zeros(2), -40.0)
+        share = labelled.agg(F.avg("toxic")).first()[0] or 0.0
+        return Model([], np.zeros(2), float(np.log(share / (1 - share))) if 0 < share < 1 else -40.0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters, total = Voters(lexicon), Counter()
@@ -242,7 +245,7 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame
 
     Labels, lang, source and doc_id are no input of a score. A null text counts as empty and an
     empty one scores like any text without a hit. Without both kinds of labels every score is next to
-    0. Rows that repeat give repeated rows, a null id is held out, and an empty table gives no rows.
+    0; if both are there but no stem parts them, it is the toxic share of the labels. Rows that repeat give repeated rows, a null id is held out, and an empty table gives no rows.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     out = _scored(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"),

@@ -13,11 +13,11 @@ from liftlab.llm import queries, topk, toxicity
 from tests.llm import data
 
 
-def toxic_rows():
+def toxic_rows(share=0.2):
     rng = random.Random(3)
     docs, labels = [], []
     for i in range(900):
-        bad = rng.random() < 0.2
+        bad = rng.random() < share
         text = data.words(rng, rng.randrange(5, 60))
         if bad:
             for _ in range(rng.randrange(1, 4)):
@@ -47,6 +47,21 @@ def test_toxicity(spark):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if not r.predicted)
 
 
+@pytest.mark.parametrize("share", [0.25, 0.5, 0.9])
+def test_toxicity_at_any_share(spark, share):
+    docs, labels = toxic_rows(share)
+    got = toxicity.score(data.frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    truth = {i: y for i, _, y in labels}
+    held = [(r.predicted, truth[r.doc_id]) for r in got.collect() if r.held_out]
+    assert len(held) > 100 and np.mean([p == y for p, y in held]) > 0.98
+
+
+def test_toxicity_without_telling_stems(spark):
+    docs = data.plain(spark, [(i, "same words") for i in range(60)])
+    marks = spark.createDataFrame([(i, 1, int(i % 10 > 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    assert all(0.8 < r.score < 1 and r.predicted == 1 for r in toxicity.score(docs, marks).collect())
+
+
 def test_held_out_labels_change_nothing(spark):
     docs, labels = toxic_rows()
     flipped = [(i, q, 1 - y if zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, q, y in labels]
