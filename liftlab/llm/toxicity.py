@@ -9,19 +9,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftlab.llm.common import BoundedCache, held_out, slices
 from liftlab.session import written
 
-#: Most labelled rows that lexicon and classifier are fitted on, chosen by a hash of the id.
+#: Most labelled rows that the classifier is fitted on, chosen by a hash of the id. The lexicon is mined from all.
 FIT_ROWS = 12_000
-#: Most stems of the lexicon, and what each needs: twice its log-likelihood ratio as evidence, and odds of
-#: being toxic so many times the labels' own. Odds have no upper end, so the bar can be reached at any share.
-LEXICON = 512
+#: What a stem of the lexicon needs: twice its log-likelihood ratio as evidence, and odds of being toxic
+#: so many times the labels' own. Odds have no upper end, so the bar can be reached at any share.
 EVIDENCE = 24.0
 ODDS = 4.0
+#: Most features of the classifier: in a longer lexicon, stems of like evidence share one.
+FEATURES = 512
+#: Stems that a task counts before it hands them on.
+COUNTED_STEMS = 200_000
 LEXICON_VOTERS = 8
 CACHED_WORDS = 150_000
 ABSTAIN, TOXIC, CLEAN = 0, 1, 2
@@ -35,20 +39,26 @@ def stems(token: str) -> tuple[str, ...]:
         s for w in _WORD.findall(token.lower()) for s in (w + "$", w[:4], w[:5], w[:6])))
 
 
-def stem_set(text: str | None) -> set[str]:
-    return {s for token in set((text or "").split()) for s in stems(token)}
+def kin(words: list[str]) -> int:
+    """One of 64 bits, the same for most near copies of a text: by the least hash of three words in a row."""
+    joined = [" ".join(words[k:k + 3]) for k in range(max(1, len(words) - 2))]
+    return 1 << (min(xxhash.xxh64_intdigest(x) for x in joined) * 0x9E3779B97F4A7C15 >> 32 & 63)
+
+
+def features(lexicon: list[str]) -> int:
+    return min(len(lexicon), FEATURES)
 
 
 class Voters:
-    """Votes of lexicon parts and patterns on one text, from the places of its lexicon stems."""
+    """Votes of lexicon parts and patterns on one text, from the features of its lexicon stems."""
 
     def __init__(self, lexicon: list[str]):
-        self.number = {s: k for k, s in enumerate(lexicon)}
+        self.number = {s: k * features(lexicon) // len(lexicon) for k, s in enumerate(lexicon)}
         self.cache = BoundedCache(
             lambda t: tuple(self.number[s] for s in stems(t) if s in self.number), CACHED_WORDS)
 
     def hits(self, text: str | None) -> tuple[list[int], int, int]:
-        """Distinct lexicon stems, words that hold one, and words of the whole text."""
+        """Distinct features of lexicon stems, words that hold one, and words of the whole text."""
         tokens = (text or "").split()
         found = [h for h in map(self.cache.__getitem__, tokens) if h]
         return sorted(set().union(*found)), len(found), len(tokens)
@@ -121,7 +131,7 @@ class LabelModel:
 
 @dataclass
 class Model:
-    """Linear classifier over lexicon stems, hit words and their share of the text."""
+    """Linear classifier over features of lexicon stems, hit words and their share of the text."""
 
     lexicon: list[str]
     weights: np.ndarray
@@ -153,55 +163,93 @@ def logistic(x: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int
     return beta[:-1], float(beta[-1])
 
 
+def learnt_from(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the labelled ids that are not held out; an id with several labels takes the greater one."""
+    return labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))) \
+        .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+
+
 def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """(doc_id, text, toxic) of at most ``rows`` labelled documents that are not held out.
 
-    An id with several labels takes the greater one. The ids, bounded by ``rows``, are broadcast.
+    The ids, bounded by ``rows``, are broadcast.
     """
-    chosen = labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))) \
-        .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")) \
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    chosen = learnt_from(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
-def mine_lexicon(labelled: DataFrame, size: int = LEXICON) -> list[str]:
-    """Stems that speak for toxic texts: those with the greatest likelihood ratio by documents that hold them."""
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, toxic) of all labelled documents that are not held out, each distinct text once.
+
+    A text whose copies have several labels takes the greater one.
+    """
+    return docs.select("doc_id", "text").join(learnt_from(labels), "doc_id") \
+        .groupBy("text").agg(F.max("toxic").alias("toxic"))
+
+
+def mine_lexicon(labelled: DataFrame) -> list[str]:
+    """All stems that speak for toxic texts, those with the greatest likelihood ratio by texts that hold them first.
+
+    Near copies are no evidence of their own: the ratio is scaled down to the number of texts that differ,
+    estimated from the share of 64 bits that the toxic texts with the stem set.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = (Counter(), Counter())
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[toxic > 0].update(stem_set(text))
+        cache, seen, kinds = BoundedCache(stems, CACHED_WORDS), (Counter(), Counter()), {}
+
+        def counted() -> pa.RecordBatch:
             keys = list(seen[0].keys() | seen[1].keys())
-            yield pa.RecordBatch.from_arrays(
+            out = pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.string()), pa.array([seen[1][k] for k in keys], pa.int64()),
-                 pa.array([seen[0][k] for k in keys], pa.int64())], ["stem", "bad", "good"])
+                 pa.array([seen[0][k] for k in keys], pa.int64()),
+                 pa.array(np.array([kinds.get(k, 0) for k in keys], np.uint64).view(np.int64))],
+                ["stem", "bad", "good", "kinds"])
+            seen[0].clear(), seen[1].clear(), kinds.clear()
+            return out
 
-    total = labelled.agg(F.sum("toxic"), F.count("*")).first()
-    bad, n = total[0] or 0, total[1]
-    if not bad or bad == n:
+        for batch in batches:
+            for part in slices(batch, 64):
+                for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    words = (text or "").split()
+                    own = set().union(*map(cache.__getitem__, set(words)))
+                    if toxic > 0:
+                        bit = kin(words)
+                        for stem in own:
+                            kinds[stem] = kinds.get(stem, 0) | bit
+                    seen[toxic > 0].update(own)
+                    seen[toxic > 0][None] += 1  # the texts themselves
+                if len(seen[0]) + len(seen[1]) >= COUNTED_STEMS:
+                    yield counted()
+        yield counted()
+
+    counted = written(labelled.select("text", "toxic").mapInArrow(count, "stem string, bad long, good long, kinds long")
+                      .groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"),
+                                           F.bit_or("kinds").alias("kinds"))
+                      .filter("bad > 0 or stem is null"), "toxic-stems")
+    total = counted.filter("stem is null").first()
+    if not total or not total.bad or not total.good:
         return []
-    share = bad / n
+    share = total.bad / (total.bad + total.good)
     held = F.col("bad") + F.col("good")
     ratio = lambda k, p: F.when(k > 0, k * F.log(k / (held * p))).otherwise(0.0)
-    evidence = 2 * (ratio(F.col("bad"), share) + ratio(F.col("good"), 1 - share))
-    counted = labelled.select("text", "toxic").mapInArrow(count, "stem string, bad long, good long") \
-        .groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    return [r.stem for r in counted.withColumn("evidence", evidence)
+    free = 64 - F.bit_count("kinds")
+    differ = F.when(free > 0, F.least(-64 * F.log(free / 64) / F.col("bad"), F.lit(1.0))).otherwise(1.0)
+    evidence = 2 * differ * (ratio(F.col("bad"), share) + ratio(F.col("good"), 1 - share))
+    return [r.stem for r in counted.filter("stem is not null").withColumn("evidence", evidence)
             .filter((F.col("bad") * (1 - share) > ODDS * share * F.col("good")) & (F.col("evidence") >= EVIDENCE))
-            .orderBy(F.desc("evidence"), "stem").limit(size).collect()]
+            .orderBy(F.desc("evidence"), "stem").select("stem").collect()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Lexicon, label model and classifier.
 
-    Labels come from at most ``rows`` labelled documents that are not held out; the vote patterns
-    that the label model weighs are counted over all documents. The driver sees the lexicon, the
-    pattern counts (at most 2 to the number of lexicon voters, times the few states of the pattern
-    voters) and the hits of the sampled rows.
+    The lexicon comes from all labelled texts that are not held out, the labels of the label model
+    and the classifier from at most ``rows`` of these documents; the vote patterns that the label
+    model weighs are counted over all documents. The driver sees the lexicon, the pattern counts
+    (at most 2 to the number of lexicon voters, times the few states of the pattern voters) and the
+    hits of the sampled rows.
     """
-    # small parts, as a task counts all stems of its texts
-    labelled = written(sample(docs, labels, rows).repartition(64), "toxic-sample")
-    lexicon = mine_lexicon(labelled)
+    labelled = written(sample(docs, labels, rows), "toxic-sample")
+    lexicon = mine_lexicon(labelled_texts(docs, labels))
     if not lexicon:
         share = labelled.agg(F.avg("toxic")).first()[0] or 0.0
         return Model([], np.zeros(2), float(np.log(share / (1 - share))) if 0 < share < 1 else -40.0)
@@ -233,7 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         free[pattern] = max(free.get(pattern, 0.0) - n, 0.0)
     model = LabelModel().fit(free, known)
     target = model.posterior(np.array([decode(p) for p in patterns]).reshape(-1, N_VOTERS))
-    x = np.zeros((len(seen), len(lexicon) + 2))
+    x = np.zeros((len(seen), features(lexicon) + 2))
     for row, (hit, _) in enumerate(seen):
         x[row, hit[0]] = 1
         x[row, -2:] = Model.extra(hit[1], hit[2])
@@ -245,7 +293,8 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame
 
     Labels, lang, source and doc_id are no input of a score. A null text counts as empty and an
     empty one scores like any text without a hit. Without both kinds of labels every score is next to
-    0; if both are there but no stem parts them, it is the toxic share of the labels. Rows that repeat give repeated rows, a null id is held out, and an empty table gives no rows.
+    0; if both are there but no stem parts them, it is the toxic share of the labels. Rows that repeat
+    give repeated rows, a null id is held out, and an empty table gives no rows.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     out = _scored(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"),

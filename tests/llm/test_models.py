@@ -62,6 +62,35 @@ def test_toxicity_without_telling_stems(spark):
     assert all(0.8 < r.score < 1 and r.predicted == 1 for r in toxicity.score(docs, marks).collect())
 
 
+def test_lexicon_of_all_labelled_texts(spark):
+    docs, labels = toxic_rows(0.1)
+    rare, bad = {}, [i for i, _, y in labels if y and zlib.crc32(str(i).encode()) % 5]
+    for i in bad[:9]:
+        rare[i] = " qqrare"
+    found = [(i, r[1] + rare.get(i, "")) for i, r in enumerate(docs)]
+    copied = [(2000 + i, "copied onlyhere vile") for i in range(300)]
+    marks = labels + [(i, 1, 1) for i, _ in copied]
+    marks = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    lexicon = toxicity.fit(data.plain(spark, found + copied), marks, rows=60).lexicon
+    # nine of all labelled texts hold the first, whatever the sample; copies of one text are one text
+    assert {"qqrare$", "vile$", "rotten$"} <= set(lexicon) and not {"copied$", "onlyhere$"} & set(lexicon)
+
+
+def test_lexicon_without_a_cap(spark):
+    rng = random.Random(8)
+    vile = [rng.choice("pqxz") + "".join(rng.choice("jkwvy") for _ in range(6)) for _ in range(220)]
+    found, labels = [], []
+    for i in range(1000):
+        text = data.words(rng, 40) + (rng.sample(vile, 25) if i % 2 else [])
+        found.append((i, " ".join(text)))
+        labels.append((i, 1, i % 2))
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(data.plain(spark, found), marks)
+    assert {v + "$" for v in vile} <= set(model.lexicon) and len(model.weights) == toxicity.FEATURES + 2
+    got = toxicity.score(data.plain(spark, found), marks).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got if r.held_out)
+
+
 def test_held_out_labels_change_nothing(spark):
     docs, labels = toxic_rows()
     flipped = [(i, q, 1 - y if zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, q, y in labels]
