@@ -244,10 +244,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
         .select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents whose id is their component's smallest; rows with a null id are kept.
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, **options) -> DataFrame:
+    """The rows whose id is their own component's smallest; rows with a null id are kept.
 
-    Of rows that repeat an id, all stay if that id is kept. All columns of ``docs`` stay.
+    Rows are judged by id and fingerprint: of rows that repeat an id with other texts, each stays if
+    its own component keeps that id, so every component keeps a row. All columns of ``docs`` stay.
     """
-    kept = near_duplicates(docs, **options).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_anti")
+    gone = near_duplicates(docs, shingle, **options).filter("doc_id <> component_id") \
+        .select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).distinct()
+    row = docs.schema.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 512):
+                bits = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(bits.view(np.int64))], ["row", "fp"])
+
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text").mapInArrow(run, f"row {row}, fp long")
+    return rows.join(gone, (F.col("row.doc_id") == F.col("_id")) & (F.col("fp") == F.col("_fp")), "left_anti") \
+        .select("row.*")

@@ -282,3 +282,11 @@ def test_grams(text):
     assert {back(k): n for k, n in zip(keys.tolist(), counts.tolist())} == want
     top = [back(k) for k in language.most_frequent(keys, counts, 20).tolist()]
     assert top == sorted(want, key=lambda g: (-want[g], g))[:20]
+
+
+def test_keep_one_judges_rows_not_ids(spark):
+    one, two = (" ".join(data.words(random.Random(k), 60)) for k in (1, 2))
+    docs = data.plain(spark, [(1, one), (2, one), (2, two), (3, two), (None, one)])
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(1, one), (2, two), (None, one)])
