@@ -26,7 +26,7 @@ def finite(col: Column) -> Column:
     return F.when(~F.isnan(col) & (F.abs(col) < F.lit(float("inf"))), col)
 
 
-def _whole_steps(col: Column, steps: float) -> Column:
+def whole_steps(col: Column, steps: float) -> Column:
     """The number of steps in ``col``, rounded half up; a value that is not finite ends the query."""
     scaled = col * F.lit(steps)
     checked = F.when(scaled.isNotNull() & finite(scaled).isNull(),
@@ -42,7 +42,7 @@ def money_sum(col: Column) -> Column:
 
 def exact_sum(col: Column, steps: float = 1e9) -> Column:
     """Sum of doubles in fixed steps: the same on every partitioning, unlike a double sum."""
-    return F.sum(_whole_steps(col, steps)).cast("double") / F.lit(steps)
+    return F.sum(whole_steps(col, steps)).cast("double") / F.lit(steps)
 
 
 def mean(col: Column, digits: int) -> Column:

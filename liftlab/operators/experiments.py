@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftlab.functions import numeric, timing
@@ -42,16 +42,24 @@ def _experiment_id(settings: Settings) -> Column:
     return F.concat(F.lit(before), F.col("product"), F.lit(after))
 
 
-def results(features: DataFrame, settings: Settings) -> DataFrame:
-    """Users, adopters and adoption rate per product and variant: one scan, one aggregation."""
+def counts(features: DataFrame, settings: Settings) -> DataFrame:
+    """(product, variant, users, adopters): one scan, one aggregation; counts of disjoint users add up."""
     long = by_product(features, settings.products, variant="variant_{}", adopted="adopted_{}")
-    counted = long.where("variant IS NOT NULL").groupBy("product", "variant").agg(
+    return long.where("variant IS NOT NULL").groupBy("product", "variant").agg(
         F.count(F.lit(1)).alias("users"), F.sum("adopted").alias("adopters"))
+
+
+def rates(counted: DataFrame, settings: Settings) -> DataFrame:
     return counted.select(
         _experiment_id(settings).alias("experiment_id"), "product", "variant", "users", "adopters",
         numeric.share_pct(F.col("adopters"), F.col("users")).alias("adoption_rate_pct"))
 
 
+def results(features: DataFrame, settings: Settings) -> DataFrame:
+    """Users, adopters and adoption rate per product and variant."""
+    return rates(counts(features, settings), settings)
+
+
 def _rate_of(variant: str) -> Column:
     return F.max(F.when(F.col("variant") == variant, F.col("adoption_rate_pct")))
 
@@ -113,3 +121,42 @@ def exposed_events(events: DataFrame, assignments: DataFrame, days: int) -> Data
         .where((ts >= start) & (ts < timing.days_after(start, days)))
         .select("event_id", "user_id", "event_ts", "event_type", "product", "experiment_id", "variant")
     )
+
+
+def asof_exposure(events: DataFrame, assignments: DataFrame, days: int, width: str = "1 day") -> DataFrame:
+    """Each event on a product with the assignment in force: the newest one at or before it, if within ``days``.
+
+    A user may be assigned again, to another variant or another experiment of the same product; each event still
+    counts once. Of assignments at the same time the last by (experiment, variant) is in force. Events and assignments without
+    user, product or time are left out.
+
+    Events and assignments are ordered together within (user, product, time bucket). What is in force when a bucket begins
+    comes from one row per bucket and key, so neither a user's events nor assignments have to meet in one task, but
+    for those of one bucket of ``width``.
+    """
+    keys = ["user_id", "product"]
+    known = "user_id IS NOT NULL AND product IS NOT NULL"
+    bucket = F.window("at", width).start.alias("_bucket")
+    in_force = F.struct("assigned_ts", "experiment_id", "variant")
+    seen = events.where(known).where("event_ts IS NOT NULL").select(
+        *keys, F.col("event_ts").alias("at"), F.struct("event_id", "event_type").alias("event")).select("*", bucket)
+    given = assignments.where(known).where("assigned_ts IS NOT NULL").select(
+        *keys, F.col("assigned_ts").alias("at"), in_force.alias("given")).select("*", bucket)
+
+    nothing = F.lit(None)
+    busy = seen.groupBy(*keys, "_bucket").agg(F.lit(True).alias("busy"))
+    per_bucket = given.groupBy(*keys, "_bucket").agg(F.max("given").alias("given"))
+    timeline = busy.join(per_bucket, [*keys, "_bucket"], "full")
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = timeline.withColumn("given", F.last("given", ignorenulls=True).over(earlier)).where("busy AND given IS NOT NULL")
+
+    kind = given.schema["given"].dataType
+    rows = seen.select(*keys, "_bucket", "at", F.lit(2).alias("kind"), nothing.cast(kind).alias("given"), "event").unionByName(
+        given.select(*keys, "_bucket", "at", F.lit(1).alias("kind"), "given"), allowMissingColumns=True).unionByName(
+        carried.select(*keys, "_bucket", F.col("_bucket").cast(seen.schema["at"].dataType).alias("at"),
+                       F.lit(0).alias("kind"), "given"), allowMissingColumns=True)
+    in_order = Window.partitionBy(*keys, "_bucket").orderBy("at", "kind", "given").rowsBetween(Window.unboundedPreceding, 0)
+    matched = rows.withColumn("given", F.last("given", ignorenulls=True).over(in_order)).where("kind = 2 AND given IS NOT NULL")
+    return matched.where(F.col("at") < timing.days_after(F.col("given.assigned_ts"), days)).select(
+        "event.event_id", "user_id", F.col("at").alias("event_ts"), "event.event_type", "product", "given.experiment_id",
+        "given.variant", "given.assigned_ts")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 Rules = Mapping[str, str]
@@ -52,7 +52,7 @@ def expectation_report(df: DataFrame, rules: Rules) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def observe(df: DataFrame, name: str, rules: Rules) -> DataFrame:
+def observe(df: DataFrame, name: str | Observation, rules: Rules) -> DataFrame:
     """Attach the same counters to a running query, batch or stream, without a second pass."""
     return df.observe(
         name,

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from liftlab import session
 from liftlab.functions import numeric
 
 
@@ -73,28 +71,88 @@ def cohort_propensity(recs: DataFrame, dims: Sequence[str], product: str) -> Dat
     ).orderBy(F.desc("avg_propensity"), *dims)
 
 
-def funnel(events: DataFrame, steps: Sequence[str], product: str | None = None) -> DataFrame:
-    """Users reaching each step in order: a step counts from its first time at or after the one before.
+def _reached(steps: Sequence[str], counts: Mapping[str, Column], start: int) -> Column:
+    """The step that a user who has done ``start`` steps has done after the events of one moment, each used once."""
+    done = F.lit(len(steps))
+    for step in range(len(steps) - 1, start - 1, -1):
+        needed = list(steps[start:step + 1]).count(steps[step])
+        done = F.when(counts[steps[step]] >= needed, done).otherwise(F.lit(step))
+    return done
 
-    Per step one join with a row per user and one partial aggregation: a user's events never have
-    to meet in one task, as AQE splits the join of a hot user.
+
+class _Path:
+    """A part of a user's history as far as a funnel needs it, and how two parts make a longer one.
+
+    ``began[j]``: the latest begin of a path inside the part that has done j steps in time; of two paths that have come as far,
+    the one begun later can only last longer. ``done[i][j]``: when a path that came with i steps would have done j, which
+    is in time if it began late enough. Both are enough to go on, so parts compose in any grouping.
+    """
+
+    def __init__(self, steps: int, within: str | None):
+        self.steps, self.within = steps, within
+        self.names = [f"began_{j}" for j in range(1, steps + 1)]
+        self.names += [f"done_{i}_{j}" for i in range(1, steps) for j in range(i + 1, steps + 1)]
+
+    def _in_time(self, moment: Column, began: Column) -> Column:
+        return F.lit(True) if self.within is None else moment <= began + F.expr(f"INTERVAL {self.within}")
+
+    def moment(self, reached: Sequence[Column]) -> Column:
+        """All events at ``event_ts``; ``reached[i]`` is the step that i steps become there."""
+        at = F.col("event_ts")
+        return F.struct(*[
+            F.when(reached[int(n.split("_")[1]) if n.startswith("done") else 0] >= int(n.split("_")[-1]), at).alias(n)
+            for n in self.names])
+
+    def then(self, a: Column, b: Column) -> Column:
+        """Part ``a`` followed by part ``b``."""
+        fields = []
+        for j in range(1, self.steps + 1):
+            longer = [F.when(b[f"done_{m}_{j}"].isNotNull() & self._in_time(b[f"done_{m}_{j}"], a[f"began_{m}"]), a[f"began_{m}"])
+                      for m in range(1, j)]
+            fields.append(F.greatest(a[f"began_{j}"], b[f"began_{j}"], *longer).alias(f"began_{j}"))
+        for i in range(1, self.steps):
+            for j in range(i + 1, self.steps + 1):
+                # b goes on from the furthest step that a has reached
+                rest = b[f"done_{i}_{j}"]
+                for m in range(i + 1, j):
+                    rest = F.when(a[f"done_{i}_{m}"].isNotNull(), b[f"done_{m}_{j}"]).otherwise(rest)
+                fields.append(F.coalesce(a[f"done_{i}_{j}"], rest).alias(f"done_{i}_{j}"))
+        return F.struct(*fields)
+
+    def fold(self, parts: Column) -> Column:
+        """An array of structs (place, path), composed in order of place."""
+        in_order = F.array_sort(parts)
+        return F.aggregate(F.slice(in_order, 2, F.size(in_order)), F.get(in_order, F.lit(0))["path"],
+                           lambda so_far, next_part: self.then(so_far, next_part["path"]))
+
+
+def funnel(events: DataFrame, steps: Sequence[str], product: str | None = None, within: str | None = None,
+           bucket: str = "1 hour") -> DataFrame:
+    """Users that do the steps in order, each by an event of its own at or after that of the step before.
+
+    steps: event types; one may occur again. within: an interval such as '2 DAYS' in which a path has to end, counted
+    from its first step; a user may begin anew at any time. One pass: events of one moment become counts per type, moments of
+    one ``bucket`` and then buckets of one user become a path state, so a hot user's task sees one row per bucket.
     """
     seen = events if product is None else events.where(
         (F.col("product") == product) | F.col("product").isNull())
-    seen = seen.where("user_id IS NOT NULL").select("user_id", "event_type", "event_ts")
-    reached, counts = None, []
-    for i, step in enumerate(steps):
-        at = seen.where((F.col("event_type") == step) & F.col("event_ts").isNotNull())
-        if reached is not None:
-            at = at.join(reached, "user_id").where("event_ts >= _since")
-        reached = at.groupBy("user_id").agg(F.min("event_ts").alias("_since"))
-        if i + 1 < len(steps):
-            reached = session.written(reached, "funnel")  # read by its count and by the next step
-        counts.append(reached.agg(F.count(F.lit(1)).alias("users")).select(
-            F.lit(i + 1).alias("step_no"), F.lit(step).alias("step"), "users"))
-    table = reduce(DataFrame.unionByName, counts)
-    first = F.first("users").over(Window.orderBy("step_no"))  # one row per step
-    return table.withColumn("pct_of_first", numeric.share_pct(F.col("users"), first))
+    kinds = list(dict.fromkeys(steps))
+    moments = seen.where(F.col("event_type").isin(kinds)).where("user_id IS NOT NULL AND event_ts IS NOT NULL") \
+        .groupBy("user_id", "event_ts").agg(*[
+            F.count_if(F.col("event_type") == kind).alias(f"_n{n}") for n, kind in enumerate(kinds)])
+    counts = {kind: F.col(f"_n{n}") for n, kind in enumerate(kinds)}
+    path = _Path(len(steps), within)
+    reached = [_reached(steps, counts, i) for i in range(len(steps))]
+    parts = moments.select("user_id", F.window("event_ts", bucket).start.alias("_bucket"), F.struct(
+        F.col("event_ts").alias("place"), path.moment(reached).alias("path")).alias("part"))
+    per_bucket = parts.groupBy("user_id", "_bucket").agg(path.fold(F.collect_list("part")).alias("path"))
+    per_user = per_bucket.groupBy("user_id").agg(
+        path.fold(F.collect_list(F.struct(F.col("_bucket").alias("place"), "path"))).alias("path"))
+    totals = per_user.agg(*[F.count(F.col(f"path.began_{j}")).alias(f"s{j}") for j in range(1, len(steps) + 1)])
+    table = totals.select(F.inline(F.array(*[
+        F.struct(F.lit(j).alias("step_no"), F.lit(step).alias("step"), F.col(f"s{j}").alias("users"), F.col("s1").alias("first"))
+        for j, step in enumerate(steps, 1)])))
+    return table.select("step_no", "step", "users", numeric.share_pct(F.col("users"), F.col("first")).alias("pct_of_first"))
 
 
 def kpis(product_mix: DataFrame, lifts: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from liftlab.sources import versions
 
 # Text files keep all six digits of a second; the defaults would cut them to three.
 TEXT_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -27,9 +28,19 @@ def json(df: DataFrame, path: str, files: int | None = None) -> None:
 
 
 def replace(df: DataFrame, path: str) -> DataFrame:
-    """Overwrite data and schema; Spark refuses if ``df`` itself reads from ``path``."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace data and schema of the table under ``path`` in one step; ``df`` may read that table.
+
+    A write that fails leaves the old rows; readers keep the version they started with. The last two versions stay.
+    """
+    store = versions.Versions(df.sparkSession, path)
+    replaced = store.replace("table", df)
+    store.vacuum()
+    return replaced
+
+
+def replaced(spark: SparkSession, path: str) -> DataFrame:
+    """The newest rows that ``replace`` has put under ``path``."""
+    return versions.Versions(spark, path).snapshot().read("table")
 
 
 def materialize(df: DataFrame, table: str, path: str, comment: str | None = None,

@@ -11,9 +11,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftlab.operators import dedup, experiments, features, privacy, quality, silver, sinks
+from liftlab.operators import dedup, experiments, features, privacy, quality, silver
 from liftlab.settings import Settings
-from liftlab.sources import files
+from liftlab.sources import files, versions
 from liftlab.streaming import ingest
 
 
@@ -49,10 +49,13 @@ class Layers:
     catalog: DataFrame | None = None
 
 
-def refresh(spark: SparkSession, feeds: Feeds, base: str, settings: Settings) -> Layers:
+def refresh(spark: SparkSession, feeds: Feeds, base: str, settings: Settings, keep: int = 2) -> Layers:
     """One full refresh. Each layer is written before the next one reads it, so no layer is
     computed twice; running it again without new files gives the same tables.
 
+    All tables are written beside those of the last refresh and become visible in one commit, so a refresh that is lost
+    leaves them as they were. The tables returned are pinned to their version; ``keep`` versions stay readable.
+
     No delivered row is lost silently: it is in silver, superseded by a newer row of its key, or
     in quarantine. A feed without files gives empty tables.
     """
@@ -75,14 +78,20 @@ def refresh(spark: SparkSession, feeds: Feeds, base: str, settings: Settings) ->
         report = quality.expectation_report(bronze[name], {**strict[name], **warnings})
         return report.select(F.lit(name).alias("feed"), "*")
 
+    store = versions.Versions(spark, f"{base}/tables")
+    now = store.snapshot()
+
     def side_by_side(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
         """Write independent tables at the same time: one's stragglers leave cores to the others."""
+        nonlocal now
+
         @inheritable_thread_target(spark)
-        def write(item: tuple[str, DataFrame]) -> DataFrame:
-            return sinks.replace(item[1], f"{base}/{item[0]}")
+        def write(item: tuple[str, DataFrame]) -> versions.Table:
+            return store.whole(*item)
 
         with ThreadPool(len(tables)) as pool:
-            return pool.map(write, tables.items())
+            now = now.apply(dict(zip(tables, pool.map(write, tables.items()))))
+        return [now.read(name) for name in tables]
 
     tables = {
         "silver/users": silver.users(good(feeds.users)),
@@ -99,6 +108,8 @@ def refresh(spark: SparkSession, feeds: Feeds, base: str, settings: Settings) ->
         "gold/user_features": features.user_features(users, events, assignments, settings),
         "gold/users_secure": privacy.secure_view(users),
     })
-    results = sinks.replace(experiments.results(gold, settings), f"{base}/gold/experiment_results")
+    results, = side_by_side({"gold/experiment_results": experiments.results(gold, settings)})
+    store.commit(now)
+    store.vacuum(keep)
     return Layers(users, events, assignments, gold, results, secure, written["quality/rule_counts"],
                   {name: written[f"quarantine/{name}"] for name in bronze}, written.get("silver/catalog"))

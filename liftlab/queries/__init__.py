@@ -6,7 +6,7 @@ from liftlab.queries.registry import ORACLES, QUERIES, Query
 
 
 def _load() -> None:
-    from liftlab.queries import medallion, movement, offers  # noqa: F401
+    from liftlab.queries import evolution, medallion, movement, offers  # noqa: F401
 
 
 def all_queries() -> dict[str, Query]:

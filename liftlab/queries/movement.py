@@ -24,11 +24,14 @@ _LANDED = ("event_id, user_id, substr(cast(event_ts as varchar), 1, 19) as event
 
 
 # ---------------------------------------------------------------- streaming
-def _event_feed(base: str) -> ingest.Feed:
-    return ingest.Feed("events", "json", f"{base}/landing/events", files.EVENTS)
+DELIVERED = "event_id, user_id, event_ts, event_type, product, amount_usd, session_id"
 
 
-def _numbered(events):
+def event_feed(base: str, **options: object) -> ingest.Feed:
+    return ingest.Feed("events", "json", f"{base}/landing/events", files.EVENTS, options)
+
+
+def numbered(events):
     """Landed events with their keys, which are text in a landing table, as the numbers they were."""
     return events.select(*roles.EVENT_COLUMNS).withColumns({
         c: F.col(c).cast("bigint") for c in ("event_id", "user_id")})
@@ -38,11 +41,11 @@ def _numbered(events):
 def stream_ingest(spark, sf):
     """JSON files to bronze; the second run finds nothing new and must add nothing."""
     base = session.fresh_path(spark, "ingest")
-    feed = _event_feed(base)
+    feed = event_feed(base)
     sinks.json(roles.landed_events(spark, sf), feed.landing)
     ingest.run_once(spark, [feed], base)
     ingest.run_once(spark, [feed], base)
-    return _numbered(ingest.bronze(spark, base, feed))
+    return numbered(ingest.bronze(spark, base, feed))
 
 
 @query("stream_csv_ingest", sql.select(sql.USERS, f"select {sql.PROFILE}, email, account_ref from users"))
@@ -71,7 +74,7 @@ def stream_refresh(spark, sf):
     base = session.fresh_path(spark, "refresh")
     feeds = medallion.Feeds(
         ingest.Feed("users", "csv", f"{base}/landing/users", files.USERS),
-        _event_feed(base),
+        event_feed(base),
         ingest.Feed("assignments", "csv", f"{base}/landing/assignments", files.ASSIGNMENTS))
     swapped = roles.bronze_assignments(spark, sf).withColumn(
         "assigned_ts", F.substring(F.col("assigned_ts").cast("string"), 1, 19))
@@ -91,10 +94,10 @@ def _prefixed(df, **keys):
     return df.withColumns({c: F.concat(F.lit(prefix), F.col(c).cast("string")) for c, prefix in keys.items()})
 
 
-def _feeds(spark, base) -> medallion.Feeds:
+def make_feeds(spark, base) -> medallion.Feeds:
     """All four feeds; their landing folders exist, also where nothing is delivered."""
     feeds = medallion.Feeds(
-        ingest.Feed("users", "csv", f"{base}/landing/users", files.USERS), _event_feed(base),
+        ingest.Feed("users", "csv", f"{base}/landing/users", files.USERS), event_feed(base),
         ingest.Feed("assignments", "csv", f"{base}/landing/assignments", files.ASSIGNMENTS),
         ingest.Feed("catalog", "json", f"{base}/landing/catalog", CATALOG_SCHEMA))
     for feed in feeds.all():
@@ -121,7 +124,7 @@ def landing_string_keys(spark, sf):
     """Keys that are no numbers, through a whole refresh; all deposits are then corrected by a
     second delivery."""
     base = session.fresh_path(spark, "string-keys")
-    feeds = _feeds(spark, base)
+    feeds = make_feeds(spark, base)
     _land_users(spark, sf, feeds, user_id="U-")
     roles.catalog(spark).write.mode("append").json(feeds.catalog.landing)
     events = _prefixed(roles.landed_events(spark, sf), event_id="E-", user_id="U-")
@@ -138,7 +141,7 @@ def landing_string_keys(spark, sf):
 def _faulty_refresh(spark, sf, label) -> medallion.Layers:
     """Of 50 events one line is broken, one lacks its event_id and one its user_id; no catalog comes."""
     base = session.fresh_path(spark, label)
-    feeds = _feeds(spark, base)
+    feeds = make_feeds(spark, base)
     _land_users(spark, sf, feeds)
     nth = F.col("event_id") % 50
     landed = roles.landed_events(spark, sf)
@@ -194,7 +197,7 @@ select event_id, cast(cast(amount_usd as decimal(18,2)) + case when event_type =
 def same_batch_redelivery(spark, sf):
     """All events, then all trades with another amount; both wait when the ingest starts."""
     base = session.fresh_path(spark, "same-batch")
-    feed = _event_feed(base)
+    feed = event_feed(base)
     landed = roles.landed_events(spark, sf)
     sinks.json(landed, feed.landing)
     corrected = landed.where("event_type = 'trade'").withColumn(
@@ -209,7 +212,7 @@ def same_batch_redelivery(spark, sf):
 def stream_dedup_first(spark, sf):
     """Trades are delivered again with other amounts; the stream keeps the first delivery."""
     base = session.fresh_path(spark, "stream-dedup")
-    feed = _event_feed(base)
+    feed = event_feed(base)
     landed = roles.landed_events(spark, sf)
 
     def run():
@@ -222,7 +225,7 @@ def stream_dedup_first(spark, sf):
     corrected = landed.where("event_type = 'trade'").withColumn("amount_usd", F.lit("0.00"))
     corrected.write.mode("append").json(feed.landing)
     run()
-    return _numbered(spark.read.parquet(f"{base}/out"))
+    return numbered(spark.read.parquet(f"{base}/out"))
 
 
 @query("stream_expectations", sql.select(sql.BRONZE_EVENTS, """
@@ -232,13 +235,13 @@ where event_id is not null and user_id is not null and try_cast(event_ts as time
 def stream_expectations(spark, sf):
     """Rules on a stream: failed rows are counted in the progress and dropped."""
     base = session.fresh_path(spark, "stream-rules")
-    feed = _event_feed(base)
+    feed = event_feed(base)
     sinks.json(roles.bronze_events(spark, sf).drop("ingest_seq"), feed.landing)
     rules = {**silver.EVENT_RULES,
              "readable_time": "try_cast(event_ts AS TIMESTAMP_NTZ) IS NOT NULL",
              "readable_amount": "amount_usd IS NULL OR try_cast(amount_usd AS DOUBLE) IS NOT NULL"}
     ingest.to_bronze(spark, feed, base, rules).awaitTermination()
-    return _numbered(ingest.bronze(spark, base, feed))
+    return numbered(ingest.bronze(spark, base, feed))
 
 
 _SESSIONS = """marked as (

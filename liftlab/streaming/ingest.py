@@ -6,17 +6,18 @@ a run without new files adds nothing, and a run after a crash resumes where the
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from liftlab.operators import quality
-from liftlab.sources import files
+from liftlab.sources import files, versions
 
 
 @dataclass(frozen=True)
@@ -106,3 +107,55 @@ def _rows(spark: SparkSession, base: str, feed: Feed) -> int:
 def bronze(spark: SparkSession, base: str, feed: Feed) -> DataFrame:
     """The bronze table; empty, with all columns, as long as its feed brought nothing."""
     return spark.read.schema(bronze_schema(feed)).parquet(bronze_path(base, feed.name))
+
+
+# ---------------------------------------------------------------- by micro-batch
+BATCH = "_batch"
+COUNTS = "feed STRING, rule STRING, passed BIGINT, failed BIGINT"
+
+
+def to_batches(spark: SparkSession, feed: Feed, base: str, rules: quality.Rules) -> StreamingQuery:
+    """Ingest one feed into one bronze folder per micro-batch, and count its rules in the same pass.
+
+    All rows are stored, also those that fail. A batch that is run again after a crash overwrites its own two folders,
+    so rows and counters are there exactly once, for as long as the table is.
+    """
+    def land(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        quality.observe(batch, seen, rules).write.mode("overwrite").parquet(f"{bronze_path(base, feed.name)}/{BATCH}={number}")
+        counted = seen.get
+        rows = counted.get("rows", 0)
+        report = [{"feed": feed.name, "rule": rule, "passed": rows - (bad := counted.get(f"failed_{rule}", 0)), "failed": bad}
+                  for rule in rules]
+        versions.write_text(spark, f"{counts_path(base, feed.name)}/{BATCH}={number}/counts.json",
+                            "".join(json.dumps(line) + "\n" for line in report), overwrite=True)
+
+    return (stamp(open_feed(spark, feed)).writeStream.foreachBatch(land)
+            .option("checkpointLocation", f"{base}/checkpoints/{feed.name}").trigger(availableNow=True).start())
+
+
+def counts_path(base: str, name: str) -> str:
+    return f"{base}/counts/_feed={name}"
+
+
+def batch_numbers(spark: SparkSession, base: str, name: str, after: int = -1) -> list[int]:
+    """The micro-batches of a feed later than ``after``. Counters are written last, so a batch with them is whole."""
+    found = versions.names_in(spark, counts_path(base, name))
+    return sorted(n for f in found if f.startswith(f"{BATCH}=") and (n := int(f.split("=")[1])) > after)
+
+
+def batches(spark: SparkSession, base: str, feed: Feed, numbers: list[int]) -> DataFrame:
+    """The bronze rows of some micro-batches; only their folders are listed and read."""
+    schema = bronze_schema(feed)
+    if not numbers:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{bronze_path(base, feed.name)}/{BATCH}={n}" for n in numbers])
+
+
+def rule_counts(spark: SparkSession, base: str, feeds: list[Feed]) -> DataFrame:
+    """(feed, rule, passed, failed) over all micro-batches that were ever ingested."""
+    if any(batch_numbers(spark, base, f.name) for f in feeds):
+        stored = spark.read.schema(COUNTS).json(f"{base}/counts").where(F.col("feed").isin([f.name for f in feeds]))
+    else:
+        stored = spark.createDataFrame([], COUNTS)
+    return stored.groupBy("feed", "rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
