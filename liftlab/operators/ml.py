@@ -13,7 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from liftlab import session
@@ -90,6 +90,45 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.
     return df.withColumn("is_test", is_test(label, key, test_share, seed))
 
 
+def exact_split(df: DataFrame, strata: Sequence[str], key: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
+    """Adds ``is_test``: in every stratum exactly its share of the rows, rounded half up.
+
+    The rows with the least (hash, key) are taken, so the split is stable under re-partitioning. The border of a stratum is
+    found by counting its hashes by their first bits, then those inside the border's cell by more bits: three narrow
+    aggregations with map-side combine and at most 4,096 cells per stratum, and no sort or shuffle of rows. A stratum of
+    NULLs is one of its own; the key must be unique within a stratum. ``df`` is read four times, so pass a written table.
+    """
+    names = [f"_s{i}" for i in range(len(strata))]
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in strata], F.col(key).cast("string"))
+    hashed = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    rows = df.select(*[F.col(c).alias(n) for c, n in zip(strata, names)], hashed.alias("_h"), F.col(key).alias("_k"))
+    within = Window.partitionBy(*names).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+
+    def bordered(table: DataFrame, border: DataFrame) -> DataFrame:
+        mine = border.withColumnsRenamed({n: f"_b{n}" for n in names})
+        return table.join(mine, [F.col(n).eqNullSafe(F.col(f"_b{n}")) for n in names]).drop(*[f"_b{n}" for n in names])
+
+    border = session.written(rows.groupBy(*names).agg(
+        F.floor(F.count(F.lit(1)) * F.lit(float(test_share)) + 0.5).cast("long").alias("_left"), F.lit(0).cast("long").alias("_at")), "strata")
+    for shift in (20, 8, 0):
+        # rows of the cell that the border lies in, counted by the next bits
+        width = {20: 32, 8: 20, 0: 8}[shift]
+        inside = bordered(rows, border).where(F.shiftright("_h", width) == F.shiftright("_at", width))
+        cells = inside.groupBy(*names, "_left", F.shiftleft(F.shiftright("_h", shift), shift).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
+        before = F.coalesce(F.sum("_n").over(within), F.lit(0))
+        # the first cell by which at least ``_left`` rows are counted
+        border = session.written(cells.withColumn("_before", before).where(
+            "_left > 0 AND _before < _left AND _before + _n >= _left").select(
+            *names, (F.col("_left") - F.col("_before")).alias("_left"), F.col("_cell").alias("_at")), "split-border")
+    # rows that share all bits with the border: usually one
+    tied = bordered(rows, border).where("_h = _at").withColumn(
+        "_n", F.row_number().over(Window.partitionBy(*names).orderBy("_k"))).where("_n = _left")
+    last = session.written(tied.select(*[F.col(n).alias(f"_b{n}") for n in names], "_at", F.col("_k").alias("_last")), "split-last")
+    joined = df.join(last, [F.col(c).eqNullSafe(F.col(f"_b{n}")) for c, n in zip(strata, names)], "left")
+    taken = (hashed < F.col("_at")) | ((hashed == F.col("_at")) & (F.col(key) <= F.col("_last")))
+    return joined.withColumn("is_test", F.coalesce(taken, F.lit(False))).select(*df.columns, "is_test")
+
+
 @dataclass
 class Propensity:
     """The shared feature stages and one boosted-tree model per product."""

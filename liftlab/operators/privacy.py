@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from liftlab.functions.masking import MASKS, RAW_PATTERNS
+from liftlab.functions.masking import MASKS, RAW_PATTERNS, looks_raw
 
 
 def secure_view(users: DataFrame, privileged: bool = False) -> DataFrame:
@@ -29,7 +29,7 @@ def audit_table(df: DataFrame, table: str,
         return df.sparkSession.createDataFrame(
             [], "table_name string, column_name string, kind string, violations long")
     counts = df.agg(*[
-        F.count_if(F.col(c).rlike(p)).alias(f"_v{i}") for i, (c, _, p) in enumerate(checks)])
+        F.count_if(looks_raw(F.col(c), p)).alias(f"_v{i}") for i, (c, _, p) in enumerate(checks)])
     rows = F.array(*[
         F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
                  F.lit(kind).alias("kind"), F.col(f"_v{i}").alias("violations"))

@@ -25,6 +25,12 @@ def mix(recs: DataFrame) -> DataFrame:
         numeric.round_half_up(_value()).alias("exp_value")).orderBy(F.desc("exp_value"), "recommended_product")
 
 
+def in_order(report: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A report's rows in a fixed order, with the place of each; for tables of display size, as one task orders them."""
+    place = F.row_number().over(Window.orderBy(*columns))
+    return report.withColumn("position", place).orderBy("position")
+
+
 def totals(recs: DataFrame) -> DataFrame:
     return recs.agg(_users(), _value().alias("exp_value"))
 

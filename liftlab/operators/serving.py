@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from liftlab.functions import numeric
+from liftlab.operators import rank
+from liftlab.sources import versions
 
 COLUMNS = ("user_id", "tier", "region", "age_band", "risk_profile", "recommended_product",
            "propensity_score", "expected_annual_value_usd", "targeting_decile")
@@ -76,6 +78,47 @@ def lookup(spark: SparkSession, table: str, key: str, value: object,
         return found(fallback)
 
 
+# ---------------------------------------------------------------- the best rows of a group
+def export_ranked(df: DataFrame, store: versions.Versions, table: str, group: str = "recommended_product",
+                  score: str = "propensity_score", key: str = "user_id", rows_a_file: int = 1_000_000) -> versions.Snapshot:
+    """A second layout beside the key buckets: files in the order of (group, score from the best, key), and their index.
+
+    The index has one row per file and group it holds, with the number of rows and the best and least score; both
+    become visible in one commit. Rows are range partitioned, so a hot group is many files. NaN scores become NULL, and NULL
+    scores come last.
+    """
+    clean = nan_to_null(df)
+    order = [F.col(group).asc_nulls_first(), *rank.best_first(clean, score, key)]
+    placed = clean.repartitionByRange(*order).sortWithinPartitions(*order)
+    folder = store.whole(table, placed, maxRecordsPerFile=rows_a_file)
+    before = store.snapshot()
+    written = before.apply({table: folder}).read(table)
+    first = F.struct(F.isnull(score).alias("n"), (-F.col(score)).alias("s"), F.col(key).alias("k"))
+    index = written.groupBy(F.col("_metadata.file_path").alias("file"), F.col(group).alias("group")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(first).alias("first"), F.max(score).alias("best_score"),
+        F.min(score).alias("least_score"))
+    return store.commit(before.apply({table: folder, f"{table}.index": store.whole(f"{table}.index", index.coalesce(1))}))
+
+
+def files_of_top(snapshot: versions.Snapshot, table: str, group: str, k: int) -> list[str]:
+    """The files that hold the k best rows of a group, as few as hold them; found in the index alone."""
+    mine = snapshot.read(f"{table}.index").where(F.col("group").eqNullSafe(F.lit(group)))
+    # files of one group in order of their first row: a file is needed while those before it hold fewer than k rows
+    before = F.coalesce(F.sum("rows").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return [r.file for r in mine.select("file", before.alias("before")).where(F.col("before") < k).collect()]
+
+
+def top_of_group(snapshot: versions.Snapshot, table: str, group: str, k: int, by: str = "recommended_product",
+                 score: str = "propensity_score", key: str = "user_id") -> DataFrame:
+    """The k best rows of one group, best first; opens only the files that hold them."""
+    found = files_of_top(snapshot, table, group, k) if k > 0 else []
+    schema = snapshot.tables[table].schema
+    if not found:
+        return snapshot.spark.createDataFrame([], schema)
+    rows = snapshot.spark.read.schema(schema).parquet(*found).where(F.col(by).eqNullSafe(F.lit(group)))
+    return rows.orderBy(*rank.best_first(rows, score, key)).limit(k)
+
+
 def query(spark: SparkSession, text: str, args: Mapping[str, object] | None = None,
           **tables: DataFrame) -> DataFrame:
     """Run SQL over DataFrames: ``{name}`` is a table, ``:name`` a bound value, never pasted text."""

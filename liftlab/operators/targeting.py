@@ -12,10 +12,10 @@ def top_users(recs: DataFrame, k: int, product: str | None = None,
               score: str = "propensity_score", key: str = "user_id") -> DataFrame:
     """The k users with the highest score, best first, of one recommended product if given.
 
-    One method for every k: only (score, key) is ranked, and no task receives more than its range.
+    The list is k rows, which is also the most that a task keeps and sends; ``recs`` is read once.
     """
     chosen = recs if product is None else recs.where(F.col("recommended_product") == product)
-    return chosen.where(rank.within_top(chosen, score, key, k)).orderBy(*rank.best_first(chosen, score, key))
+    return chosen.orderBy(*rank.best_first(chosen, score, key)).limit(k)
 
 
 def flag_top_k(df: DataFrame, k: int, score: str = "propensity_score", key: str = "user_id",

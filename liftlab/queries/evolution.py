@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from liftlab import session
-from liftlab.operators import experiments, mergeable, metrics, quality, reports, silver, sinks
+from liftlab.operators import experiments, mergeable, metrics, privacy, quality, reports, serving, silver, sinks
 from liftlab.plans import incremental
 from liftlab.queries import inputs, sql
 from liftlab.queries.movement import DELIVERED, SETTINGS, event_feed, make_feeds
 from liftlab.queries.registry import query
-from liftlab.sources import roles, versions
+from liftlab.sources import drift, files, roles, versions
 from liftlab.streaming import ingest, latest
 
 PRODUCTS = inputs.PRODUCTS
@@ -262,3 +265,124 @@ from steps group by product"""))
 def qini(spark, sf):
     """One number per product: how much better than at random the score finds users whom treatment moves."""
     return metrics.qini(_arms(spark, sf), "score", "variant", "adopted", ["product"])
+
+
+# ---------------------------------------------------------------- schema drift
+def _feed() -> StructType:
+    return StructType.fromDDL(
+        "event_id BIGINT, user_id BIGINT, event_ts STRING, event_type STRING, amount_usd INT, session_id STRING")
+
+
+def _drifting(spark, sf):
+    """Half of the events in the feed's columns; in the other half amounts have a fraction, some ids are no numbers, a
+    field is new and one is missing."""
+    base = session.fresh_path(spark, "drift")
+    landed = roles.landed_events(spark, sf).withColumn("amount", F.col("amount_usd").cast("double"))
+    landed.where("event_id % 2 = 0").select(
+        "event_id", "user_id", "event_ts", "event_type", F.floor("amount").cast("int").alias("amount_usd"), "session_id").write.json(f"{base}/one")
+    landed.where("event_id % 2 = 1").select(
+        F.when(F.col("event_id") % 10 == 1, F.concat(F.lit("E-"), "event_id")).otherwise(F.col("event_id").cast("string")).alias("event_id"),
+        "user_id", "event_ts", "event_type", (F.floor("amount") + 0.5).alias("amount_usd"), F.lit("web").alias("channel")).write.json(f"{base}/two")
+    return base, files.infer_schema(spark, f"{base}/two", "json")
+
+
+@query("schema_drift_report", """
+select * from (values ('event_id', 'wider', 'bigint', 'string'), ('amount_usd', 'wider', 'int', 'double'),
+ ('session_id', 'missing', 'string', null), ('channel', 'added', null, 'string')) t("column", change, feed_type, delivered_type)
+where (select count(*) from events) > 0""")
+def schema_drift_report(spark, sf):
+    """What the second delivery's fields, read from its files, change."""
+    return drift.report(spark, drift.compare(_feed(), _drifting(spark, sf)[1]))
+
+
+@query("schema_drift", sql.select(sql.EVENTS, """
+select case when event_id % 10 <> 1 then event_id end as event_id, user_id, event_type,
+ case when amount_usd is null then null when event_id % 2 = 0 then floor(cast(amount_usd as decimal(18,2)))::double
+  else floor(cast(amount_usd as decimal(18,2)))::double + 0.5 end as amount_usd,
+ case when event_id % 2 = 0 then session_id end as session_id,
+ case when event_id % 10 = 1 then '{"channel":"web","event_id":"E-' || event_id || '"}'
+  when event_id % 2 = 1 then '{"channel":"web"}' end as rescued from ev"""))
+def schema_drift(spark, sf):
+    """Both deliveries through one stream, under a schema with the wider amounts but the feed's own ids."""
+    base, delivered = _drifting(spark, sf)
+    wider = drift.evolve(_feed(), StructType([f for f in delivered.fields if f.name != "event_id"]))
+    feed = ingest.Feed("events", "json", f"{base}/*", wider)
+    ingest.append(ingest.open_rescued(spark, feed), f"{base}-out", f"{base}-checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}-out").select(
+        "event_id", "user_id", "event_type", "amount_usd", "session_id", F.col(drift.RESCUED).alias("rescued"))
+
+
+# ---------------------------------------------------------------- serving and catalog
+@query("product_index", sql.select(sql.RECS, """
+select recommended_product, rank::int as rank, user_id, propensity_score from (
+ select *, row_number() over (partition by recommended_product order by propensity_score desc, user_id) as rank from recs)
+where rank <= 5"""))
+def product_index(spark, sf):
+    """The five best prospects of each product, from the layout by product and score and its file index."""
+    store = versions.Versions(spark, session.fresh_path(spark, "by-product"))
+    recs = inputs.recommendations(spark, sf).select("recommended_product", "propensity_score", "user_id", "tier", "targeting_decile")
+    ready = serving.export_ranked(recs, store, "prospects", rows_a_file=500)
+    tops = [serving.top_of_group(ready, "prospects", p, 5).withColumn("rank", F.monotonically_increasing_id().cast("int") + 1) for p in PRODUCTS]
+    return reduce(DataFrame.unionByName, tops).select("recommended_product", "rank", "user_id", "propensity_score")
+
+
+@query("table_metadata", sql.select(sql.USERS, """
+select * from (select 'table comment' as kind, '' as name, 'one row per user' as value union all
+ select 'column comment', 'user_id', 'the key' union all select 'tag', 'layer', 'gold' union all select 'tag', 'email.pii', 'masked'
+ union all select 'rows', '', cast(count(*) as varchar) from users)"""))
+def table_metadata(spark, sf):
+    """Comments and tags of a materialised table, read back from the catalog, and its rows."""
+    path = session.fresh_path(spark, "materialised")
+    table = f"users_{path.rsplit('-', 1)[1]}"
+    stored = sinks.materialize(privacy.secure_view(roles.users(spark, sf)), table, path, "one row per user",
+                               {"user_id": "the key"}, {"layer": "gold", "email.pii": "masked"})
+    tags = spark.sql(f"SHOW TBLPROPERTIES {table}").where("key IN ('layer', 'email.pii')").selectExpr("'tag' AS kind", "key AS name", "value")
+    described = spark.sql(f"DESCRIBE EXTENDED {table}")
+    comment = described.where("col_name = 'Comment'").selectExpr("'table comment' AS kind", "'' AS name", "data_type AS value")
+    columns = described.where("col_name = 'user_id'").selectExpr("'column comment' AS kind", "col_name AS name", "comment AS value")
+    counted = sinks.row_count(stored).selectExpr("'rows' AS kind", "'' AS name", "CAST(rows AS STRING) AS value")
+    return reduce(DataFrame.unionByName, [tags, comment, columns, counted])
+
+
+@query("nan_export", sql.select(sql.SCORES, """
+select user_id, case when user_id % 7 <> 0 then prob_crypto end as prob_crypto, prob_options from scores"""))
+def nan_export(spark, sf):
+    """Scores that are no numbers leave the export as NULL."""
+    path = session.fresh_path(spark, "nan-export")
+    table = f"scores_{path.rsplit('-', 1)[1]}"
+    scores = inputs.scored(spark, sf).selectExpr(
+        "user_id", "IF(user_id % 7 = 0, double('NaN'), prob_crypto) AS prob_crypto", "prob_options")
+    serving.export_clustered(scores, table, path, buckets=session.shuffle_partitions(spark))
+    return spark.table(table)
+
+
+@query("ordered_results", sql.select(sql.RESULTS, """
+select row_number() over (order by product, variant)::int as position, product, variant, adoption_rate_pct from results"""))
+def ordered_results(spark, sf):
+    """Results in the order of a report, with the place of each row."""
+    return reports.in_order(inputs.results(spark, sf), ["product", "variant"]).select(
+        "position", "product", "variant", "adoption_rate_pct")
+
+
+@query("first_keys", sql.select(sql.NUDGED, f"select {sql.SERVING_COLUMNS} from nudged order by user_id limit 5"))
+def first_keys(spark, sf):
+    """The first exported rows by key."""
+    return inputs.nudged(spark, sf).select(*serving.columns(PRODUCTS)).orderBy("user_id").limit(5)
+
+
+@query("ingest_stamp", sql.select(sql.EVENTS, """
+select count(*) as rows, count(*) as stamped, 2 as batches, 4 as files, true as in_order from ev"""))
+def ingest_stamp(spark, sf):
+    """Two runs: every row has the time of its batch, which is later in the second, and its file."""
+    base = session.fresh_path(spark, "stamps")
+    feed = event_feed(base)
+    landed = roles.landed_events(spark, sf)
+    for odd in (0, 1):
+        landed.where(F.col("event_id") % 2 == odd).repartition(2).write.mode("append").json(feed.landing)
+        ingest.run_once(spark, [feed], base)
+    second = F.col("event_id").cast("long") % 2 == 1
+    return ingest.bronze(spark, base, feed).agg(
+        F.count("*").alias("rows"), F.count_if(F.col("_ingested_at").isNotNull() & F.col("_file_time").isNotNull()
+                                               & F.col("_source_file").contains(feed.landing.removeprefix("file:"))).alias("stamped"),
+        F.countDistinct("_ingested_at").cast("int").alias("batches"), F.countDistinct("_source_file").cast("int").alias("files"),
+        (F.max(F.when(~second, F.col("_ingested_at"))) < F.min(F.when(second, F.col("_ingested_at")))).alias("in_order"))

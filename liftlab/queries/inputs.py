@@ -53,9 +53,11 @@ def nudged(spark: SparkSession, sf: str) -> DataFrame:
     return nudges.assemble(recommendations(spark, sf), write_text, TOP_K)
 
 
-def scored_labels(spark: SparkSession, sf: str, salt: str = "prob") -> DataFrame:
-    """(product, user_id, score, label) for all users and products."""
-    labels = [f"adopted_{p}" for p in PRODUCTS]
-    wide = roles.closed_form_scores(
-        user_features(spark, sf), salt=salt, keep=["user_id", *labels])
+def labelled(gold: DataFrame, salt: str = "prob") -> DataFrame:
+    """(product, user_id, score, label) of all users in ``gold`` and all products."""
+    wide = roles.closed_form_scores(gold, salt=salt, keep=["user_id", *(f"adopted_{p}" for p in PRODUCTS)])
     return experiments.by_product(wide, PRODUCTS, ["user_id"], score="prob_{}", label="adopted_{}")
+
+
+def scored_labels(spark: SparkSession, sf: str, salt: str = "prob") -> DataFrame:
+    return labelled(user_features(spark, sf), salt)

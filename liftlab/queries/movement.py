@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from liftlab import session
-from liftlab.operators import (dedup, experiments, features, ml, recommend, reports, serving,
+from liftlab.operators import (dedup, experiments, features, metrics, ml, recommend, reports, serving,
                                sessions, silver, sinks, targeting)
 from liftlab.plans import medallion, next_offer
 from liftlab.queries import inputs, sql
@@ -343,23 +343,38 @@ def user_recommendations(spark, sf):
 _AS_TEXT = "case when kyc_status = 'pending' then 'n/a' else cast(cast(account_balance_usd as decimal(18,2)) as varchar) end"
 
 
-@query("numeric_clean", sql.select(sql.FEATURES, f"""
-select user_id, coalesce(try_cast({_AS_TEXT} as double), 0) as account_balance_usd,
- cast(events_total as double) as events_total from feats"""))
+_NUMBERS = ml.number_columns(PRODUCTS)
+
+
+@query("numeric_clean", sql.select(sql.FEATURES, "select user_id, " + ", ".join(
+    f"coalesce(try_cast({_AS_TEXT} as double), 0) as {c}" if c == "account_balance_usd" else f"coalesce(cast({c} as double), 0) as {c}"
+    for c in _NUMBERS) + " from feats"))
 def numeric_clean(spark, sf):
+    """All model inputs, one of which comes as text that cannot always be read."""
     balance = F.col("account_balance_usd").cast("decimal(18,2)").cast("string")
-    text = inputs.user_features(spark, sf).select(
-        "user_id", F.when(F.col("kyc_status") == "pending", "n/a").otherwise(balance).alias("account_balance_usd"),
-        "events_total")
-    return ml.clean_numeric(text, ["account_balance_usd", "events_total"])
+    text = inputs.user_features(spark, sf).select("user_id", *_NUMBERS, "kyc_status").withColumn(
+        "account_balance_usd", F.when(F.col("kyc_status") == "pending", "n/a").otherwise(balance)).drop("kyc_status")
+    return ml.clean_numeric(text, _NUMBERS)
 
 
-@query("stratified_split", sql.select(sql.FEATURES, """
-select user_id, adopted_crypto, ('0x' || substr(md5('42:' || adopted_crypto || ':' || user_id), 1, 8))::bigint
- < 858993459 as is_test from feats"""))
+@query("stratified_split", sql.select(sql.LONG, """
+select user_id, product, adopted, ('0x' || substr(md5('42:' || adopted || ':' || user_id), 1, 8))::bigint < 858993459 as is_test from long"""))
 def stratified_split(spark, sf):
-    return ml.stratified_split(
-        inputs.user_features(spark, sf).select("user_id", "adopted_crypto"), "adopted_crypto", "user_id")
+    """The labels of all products, each split by itself."""
+    long = experiments.by_product(inputs.user_features(spark, sf), PRODUCTS, ["user_id"], adopted="adopted_{}")
+    return ml.stratified_split(long, "adopted", "user_id")
+
+
+@query("exact_split", sql.select(sql.LONG, """
+, placed as (
+ select user_id, product, adopted, count(*) over (partition by product, adopted) as n, row_number() over (
+  partition by product, adopted order by ('0x' || substr(md5('42:' || product || ':' || adopted || ':' || user_id), 1, 8))::bigint, user_id) as r
+ from long)
+select user_id, product, adopted, r <= floor(n * 0.2::double + 0.5::double) as is_test from placed"""))
+def exact_split(spark, sf):
+    """Exactly a fifth of the adopters and of the others, per product."""
+    long = experiments.by_product(inputs.user_features(spark, sf), PRODUCTS, ["user_id"], adopted="adopted_{}")
+    return ml.exact_split(session.written(long, "labels"), ["product", "adopted"], "user_id")
 
 
 def _vector_sql() -> str:
@@ -419,6 +434,27 @@ def gbt_metrics(spark, sf):
         "roc_auc BETWEEN 0 AND 1 AND avg_precision BETWEEN 0 AND 1 AND accuracy BETWEEN 0 AND 1 AS measured")
 
 
+@query("model_reload", "select unnest(['crypto', 'options', 'agentic']) as product, 1 as version, true as same_scores, "
+       "true as beats_chance, 1 as runs_logged, count(*) as users from customer")
+def model_reload(spark, sf):
+    """Fit, save, load and score with the loaded models: their scores equal those of the fitted ones and rank the
+    adopters of all users better than chance; the run log has one row per product."""
+    gold = session.written(inputs.user_features(spark, sf), "user_features")
+    config = ml.TrainConfig(trees=5)
+    base = session.fresh_path(spark, "models")
+    trained, fitted = next_offer.train_and_score(gold, SETTINGS, config)
+    ml.save(trained, base, version=1)
+    ml.record_run(f"{base}/runs", trained, config, version=1)
+    loaded = ml.score(ml.load(base, 1, PRODUCTS), gold)
+    labels = gold.select("user_id", *(f"adopted_{p}" for p in PRODUCTS))
+    again = experiments.by_product(loaded.join(labels, "user_id"), PRODUCTS, ["user_id"], score="prob_{}", label="adopted_{}")
+    both = session.written(again.join(ml.long_scores(fitted, PRODUCTS), ["user_id", "product"]), "both-scores")
+    found = both.groupBy("product").agg(F.every(F.col("score") == F.col("prob")).alias("same_scores"), F.count("*").alias("users"))
+    logged = ml.summary(spark, f"{base}/runs").groupBy("product", "version").agg(F.count("*").cast("int").alias("runs_logged"))
+    return found.join(metrics.roc_auc(both, "score", "label", ["product"]), "product").join(logged, "product").select(
+        "product", "version", "same_scores", (F.col("roc_auc") > 0.5).alias("beats_chance"), "runs_logged", "users")
+
+
 # ---------------------------------------------------------------- documented extras
 @query("sessions_by_gap", sql.select(f"{sql.EVENTS}, {_SESSIONS}", "select * from sess"))
 def sessions_by_gap(spark, sf):

@@ -269,9 +269,10 @@ def cumulative_gains(spark, sf):
 select product, version, roc_auc from metrics
 qualify row_number() over (partition by product order by roc_auc desc, version desc) = 1"""))
 def champion(spark, sf):
+    gold = session.written(inputs.user_features(spark, sf), "user_features")  # read once per version
     runs = None
     for version, salt in ((1, "prob"), (2, "second")):
-        rows = inputs.scored_labels(spark, sf, salt).withColumn("version", F.lit(version))
+        rows = inputs.labelled(gold, salt).withColumn("version", F.lit(version))
         runs = rows if runs is None else runs.unionByName(rows)
     return ml.champion(metrics.roc_auc(runs, "score", "label", ["product", "version"]))
 
@@ -325,7 +326,8 @@ def secure_view(spark, sf):
     return privacy.secure_view(roles.users(spark, sf))
 
 
-_RAW = {"email": "[^@*\\s]@[^@\\s]", "account_ref": "ACCT-[0-9]{5,}"}
+_RAW = {"email": r"[^@\s]@[^@\s]", "account_ref": "(?i)ACCT-[0-9]{5,}"}
+_MASK = r"""(^|[\s(<\[,;:"''])\*{4}@"""
 _PROFILE_TEXT = ["tier", "region", "age_band", "risk_profile", "kyc_status"]
 _PUBLISHED = {
     "silver_users": ("users", [*_PROFILE_TEXT, "email", "account_ref"]),
@@ -339,7 +341,7 @@ _PUBLISHED = {
 def _audit_sql(name: str, source: str, columns: list[str]) -> str:
     return " union all ".join(
         f"select '{name}' as table_name, '{c}' as column_name, '{kind}' as kind,"
-        f" count(*) filter (regexp_matches({c}, '{pattern}')) as violations from {source}"
+        f" count(*) filter (regexp_matches(regexp_replace({c}, '{_MASK}', '\\1', 'g'), '{pattern}')) as violations from {source}"
         for c in columns for kind, pattern in _RAW.items())
 
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from liftlab.operators import quality
-from liftlab.sources import files, versions
+from liftlab.sources import drift, files, versions
 
 
 @dataclass(frozen=True)
@@ -63,6 +63,15 @@ def open_feed(spark: SparkSession, feed: Feed) -> DataFrame:
     return readers[feed.fmt](spark, feed.landing, landing_schema(feed), **feed.options)
 
 
+def open_rescued(spark: SparkSession, feed: Feed) -> DataFrame:
+    """A stamped JSON feed whose columns may change: what its schema cannot hold is kept in ``_rescued``."""
+    if feed.fmt != "json":
+        raise ValueError("only JSON lines name their fields row by row")
+    lines = stamp(spark.readStream.options(**feed.options).text(feed.landing))
+    schema = StructType.fromDDL(feed.schema) if isinstance(feed.schema, str) else feed.schema
+    return drift.fit_json(lines, schema, ["_ingested_at", "_file_time", "_source_file"])
+
+
 def append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Start an append of all available rows to a parquet table."""
     return (stream.writeStream.format("parquet").outputMode("append")
