@@ -25,8 +25,8 @@ END_ID = 2
 LEVEL = 64
 #: Expected documents of one shard, the unit that one task packs.
 SHARD_DOCS = 8192
-#: Words that a worker keeps, and half the runs of letters; about 150 bytes each.
-CACHED_WORDS = 400_000
+#: Words that a worker keeps, and half the runs of letters; about 150 bytes each; fewer are forgotten and learnt again more often.
+CACHED_WORDS = 700_000
 
 PIECES = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
