@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -12,10 +12,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from liftlab.session import written
+
 SAMPLES = 128
 #: Distinct terms whose samples a worker keeps: three 4-byte numbers per sample.
 CACHED_TERMS = 60_000
 _BLOCK = 512
+#: Ranges by number of documents that one range by bytes is put together from.
+FINE = 4
 # The increments and factors of a 64-bit mixing function.
 _STEP, _MIX_A, _MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -70,33 +74,49 @@ class Sampler:
             rows.update(zip(new, range(at.start, at.stop)))
         return np.fromiter(map(rows.__getitem__, terms), np.int64, len(terms))
 
-    def fingerprint(self, words: list[bytes]) -> bytes:
-        """Two bytes per sample that name the sampled (term, level); no words: an empty fingerprint."""
-        if not words:
-            return b""
-        best = np.full(self.samples, np.inf, np.float32)
-        chosen = np.zeros(self.samples, np.uint64)
-        weights = Counter(words)
-        once = [t for t, w in weights.items() if w == 1]
-        often = [t for t, w in weights.items() if w > 1]
-        for terms in (once, often):
+    def start(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per sample the least value so far, its term's key and the name of (term, level)."""
+        return np.full(self.samples, np.inf, np.float32), np.zeros(self.samples, np.uint64), np.zeros(self.samples, np.uint64)
+
+    def add(self, state: tuple, weights: Iterable[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``state`` with more terms. Equal values go to the smaller key, so the order of terms has no effect."""
+        best, owner, chosen = state
+        weights = list(weights)
+        once = [t for t, w in weights if w == 1]
+        often = [(t, w) for t, w in weights if w > 1]
+        for terms, counts in ((once, None), ([t for t, _ in often], np.array([w for _, w in often], np.float32))):
             for at in range(0, len(terms), _BLOCK):
-                part = terms[at:at + _BLOCK]
-                rows = self._places(part)
+                rows = self._places(terms[at:at + _BLOCK])
+                order = np.argsort(self.keys[rows])  # argmin takes the first of equals
+                rows = rows[order]
                 log_a, level = self.single[rows], None
-                if terms is often:
-                    r, w = self.r[rows], np.fromiter(map(weights.__getitem__, part), np.float32, len(part))
-                    level = np.floor(np.log(w)[:, None] / r + self.b[rows])
+                if counts is not None:
+                    r = self.r[rows]
+                    level = np.floor(np.log(counts[at:at + _BLOCK][order])[:, None] / r + self.b[rows])
                     log_a -= r * level
                 least = log_a.argmin(axis=0)
-                value, name = log_a[least, self.columns], self.keys[rows][least]
+                value, key = log_a[least, self.columns], self.keys[rows][least]
+                name = key
                 if level is not None:
-                    name = name + level[least, self.columns].astype(np.int64).view(np.uint64) * _STEP
-                # the names make ties between blocks independent of the order of terms
-                name = _mixed(name)
-                better = (value < best) | (value == best) & (name < chosen)
-                best, chosen = np.where(better, value, best), np.where(better, name, chosen)
-        return (chosen >> np.uint64(48)).astype("<u2").tobytes()
+                    name = key + level[least, self.columns].astype(np.int64).view(np.uint64) * _STEP
+                better = (value < best) | (value == best) & (key < owner)
+                best, owner, chosen = np.where(better, value, best), np.where(better, key, owner), np.where(better, name, chosen)
+        return best, owner, chosen
+
+    @staticmethod
+    def named(state: tuple) -> bytes:
+        """Two bytes per sample that name the sampled (term, level)."""
+        return (_mixed(state[2]) >> np.uint64(48)).astype("<u2").tobytes()
+
+    def fingerprint(self, words: list[bytes]) -> bytes:
+        """The fingerprint of a list of words; no words: an empty one."""
+        return self.named(self.add(self.start(), Counter(words).items())) if words else b""
+
+    def pair(self, a: Counter[bytes], b: Counter[bytes]) -> tuple[bytes, bytes]:
+        """The fingerprints of two weighted sets; terms that both hold equally often are sampled once."""
+        shared = a.items() & b.items()
+        state = self.add(self.start(), shared)
+        return tuple(self.named(self.add(state, own.items() - shared)) if own else b"" for own in (a, b))
 
 
 @lru_cache(maxsize=2)
@@ -117,6 +137,16 @@ def edited(text: str, after: str) -> str:
     return text[:len(text) - third] + after[:third]
 
 
+def counted(text: str, other: str, alike: int) -> tuple[Counter[bytes], Counter[bytes]]:
+    """Words of two texts whose first ``alike`` characters are the same; whole words of these are counted once."""
+    start = max(text.rfind(space, 0, alike) for space in " \t\n\r\x0b\x0c") + 1
+    both = Counter(text[:start].encode().split())
+    rest = both.copy()
+    both.update(text[start:].encode().split())
+    rest.update(other[start:].encode().split())
+    return both, rest
+
+
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """Fingerprint each whole text and its edited text, and compare it with the next document's.
 
@@ -133,47 +163,67 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 100 * n)).first()[0] if n > 1 else None
+    fine = FINE * n
+    cuts = rows.agg(F.percentile_approx("doc_id", [k / fine for k in range(1, fine)], 100 * fine)).first()[0] if fine > 1 else None
     cuts = sorted(set(cuts or []), reverse=True)
     # the number of cuts at or above an id; null ids come last of all
     above = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c >= F.col("doc_id"))) if cuts else F.lit(0)
-    ranged = rows.withColumn("range", F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(above))
-    heads = ranged.groupBy("range").agg(F.max(F.struct("doc_id", "text")).alias("head"))
-    present = sorted(r.range for r in heads.select("range").collect())  # one number per range
-    before = zip(present, [*present[-1:], *present[:-1]])
-    back = F.create_map(*[F.lit(x) for pair in before for x in pair]) if present else F.create_map(F.lit(0), F.lit(0))
-    extra = heads.select(back[F.col("range")].alias("range"), F.lit(True).alias("extra"), "head.doc_id", "head.text")
+    placed = rows.withColumn("fine", F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(above))
+    heads = written(placed.groupBy("fine").agg(
+        F.max(F.struct("doc_id", "text")).alias("head"), F.sum(F.octet_length("text")).alias("bytes")), "heads")
+    # neighbouring fine ranges, at most ``fine`` numbers, become ranges of about equal bytes
+    sizes = sorted((r.fine, r.bytes) for r in heads.select("fine", "bytes").collect())
+    total, so_far, range_of, first = max(1, sum(b for _, b in sizes)), 0, {}, {}
+    for number, size in sizes:
+        own = min(so_far * n // total, n - 1)
+        range_of[number] = own
+        first.setdefault(own, number)
+        so_far += size
+    present = sorted(first)
+    numbered = F.create_map(*[F.lit(x) for pair in range_of.items() for x in pair]) if sizes else F.create_map(F.lit(0), F.lit(0))
+    ranged = placed.withColumn("range", numbered[F.col("fine")])
+    # the first document of a range, added to the range before it
+    before = {first[own]: earlier for own, earlier in zip(present, [*present[-1:], *present[:-1]])}
+    back = F.create_map(*[F.lit(x) for pair in before.items() for x in pair]) if present else F.create_map(F.lit(0), F.lit(0))
+    extra = heads.select(back[F.col("fine")].alias("range"), F.lit(True).alias("extra"), "head.doc_id", "head.text").where("range IS NOT NULL")
     both = ranged.select("range", F.lit(False).alias("extra"), "doc_id", "text").unionByName(extra) \
-        .repartition(max(1, len(present)), "range") \
+        .repartitionById(max(1, n), F.col("range").cast("int")) \
         .sortWithinPartitions("range", "extra", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, held, out = sampler(samples), None, []
+        made, held, pending, out = sampler(samples), None, None, []
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*out)) or [()] * 7
-            return pa.RecordBatch.from_arrays(
+            made_rows = pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)],
                 ["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+            out.clear()
+            return made_rows
+
+        def follow(own: bytes) -> None:
+            """The document before is done once the fingerprint of its next is known."""
+            if pending is not None:
+                out.append((*pending, likeness(pending[3], own)))
 
         for batch in batches:
             types = [batch.schema.field(2).type, pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
             for at in range(batch.num_rows):
-                doc_id, text = batch.column(2)[at].as_py(), batch.column(3)[at].as_py()
-                own = made.fingerprint(text.encode().split())
+                extra_row, doc_id, text = (batch.column(c)[at].as_py() for c in (1, 2, 3))
                 if held is not None:
-                    was_id, was, was_own = held
+                    was_id, was = held
                     new = edited(was, text)
-                    new_own = made.fingerprint(new.encode().split())
-                    out.append((was_id, len(was), new, was_own, new_own, likeness(was_own, new_own), likeness(was_own, own)))
-                # an added document only ends its range
-                held = None if batch.column(1)[at].as_py() else (doc_id, text, own)
+                    own, new_own = made.pair(*counted(was, new, len(was) - len(was) // 3))
+                    follow(own)
+                    pending = (was_id, len(was), new, own, new_own, likeness(own, new_own))
+                held = (doc_id, text)
+                if extra_row:  # it only ends its range
+                    follow(made.fingerprint(text.encode().split()))
+                    held = pending = None
                 if len(out) >= 512:
                     yield flush()
-                    out.clear()
             if out:
                 yield flush()
-                out.clear()
 
     return both.mapInArrow(
         run, f"doc_id {id_type}, n_chars long, edited string, fingerprint binary, "
