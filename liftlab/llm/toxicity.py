@@ -169,22 +169,30 @@ def learnt_from(labels: DataFrame) -> DataFrame:
         .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """(doc_id, text, toxic) of at most ``rows`` labelled documents that are not held out.
-
-    The ids, bounded by ``rows``, are broadcast.
-    """
-    chosen = learnt_from(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+def sample(labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """(doc_id, toxic) of at most ``rows`` labelled ids that are not held out, for a broadcast."""
+    return learnt_from(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic) of all labelled documents that are not held out, each distinct text once.
 
-    A text whose copies have several labels takes the greater one.
+    A text whose copies have several labels takes the greater one. Only ids and digests of texts are joined and grouped; the
+    texts themselves are then read for one row per digest, whose ids go to the documents if they are few.
     """
-    return docs.select("doc_id", "text").join(learnt_from(labels), "doc_id") \
-        .groupBy("text").agg(F.max("toxic").alias("toxic"))
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    usable = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(~held_out(F.col("doc_id")))
+    named = usable.select("doc_id", digest.alias("digest")).join(learnt_from(labels), "doc_id") \
+        .groupBy("digest", "doc_id").agg(F.max("toxic").alias("toxic"), F.count("*").alias("copies"))
+    chosen = written(named.groupBy("digest").agg(
+        F.max("toxic").alias("toxic"), F.min(F.struct("doc_id", "copies")).alias("first")).select(
+        "digest", "toxic", "first.doc_id", "first.copies"), "distinct-texts")
+    texts = usable.withColumn("digest", digest).join(chosen, ["doc_id", "digest"])
+    if chosen.where("copies > 1").isEmpty():
+        return texts.select("text", "toxic")
+    # rows that repeat an id with its text
+    return texts.where("copies = 1").select("text", "toxic").unionByName(
+        texts.where("copies > 1").dropDuplicates(["digest"]).select("text", "toxic"))
 
 
 def mine_lexicon(labelled: DataFrame) -> list[str]:
@@ -239,42 +247,61 @@ def mine_lexicon(labelled: DataFrame) -> list[str]:
             .orderBy(F.desc("evidence"), "stem").select("stem").collect()]
 
 
+_HIT = "stems array<int>, words int, length int"
+
+
+def lexicon_hits(docs: DataFrame, lexicon: list[str]) -> DataFrame:
+    """(doc_id, stems, words, length): what each whole text holds of the lexicon, a few numbers per row, written once."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voters = Voters(lexicon)
+        for batch in batches:
+            for part in slices(batch, 1024):
+                hits = [voters.hits(t) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([h[0] for h in hits], pa.list_(pa.int32())),
+                     pa.array([h[1] for h in hits], pa.int32()), pa.array([h[2] for h in hits], pa.int32())],
+                    ["doc_id", "stems", "words", "length"])
+
+    return written(docs.select("doc_id", "text").mapInArrow(look, f"doc_id {id_type}, {_HIT}"), "lexicon-hits")
+
+
+def _hits(batch: pa.RecordBatch, first: int) -> Iterator[tuple[list[int], int, int]]:
+    return zip(*(batch.column(first + k).to_pylist() for k in range(3)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
-    """Lexicon, label model and classifier.
+    """Lexicon, label model and classifier."""
+    return fit_and_hits(docs, labels, rows)[0]
+
+
+def fit_and_hits(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[Model, DataFrame | None]:
+    """Lexicon, label model and classifier, and the lexicon hits of all documents (None without a lexicon).
 
     The lexicon comes from all labelled texts that are not held out, the labels of the label model
     and the classifier from at most ``rows`` of these documents; the vote patterns that the label
-    model weighs are counted over all documents. The driver sees the lexicon, the pattern counts
-    (at most 2 to the number of lexicon voters, times the few states of the pattern voters) and the
-    hits of the sampled rows.
+    model weighs are counted over all documents. Texts are read once for the hits, from which patterns, sampled rows and
+    scores are made. The driver sees the lexicon, the pattern counts (at most 2 to the number of lexicon voters, times
+    the few states of the pattern voters) and the hits of the sampled rows.
     """
-    labelled = written(sample(docs, labels, rows), "toxic-sample")
+    chosen = written(sample(labels, rows), "toxic-sample")
     lexicon = mine_lexicon(labelled_texts(docs, labels))
     if not lexicon:
-        share = labelled.agg(F.avg("toxic")).first()[0] or 0.0
-        return Model([], np.zeros(2), float(np.log(share / (1 - share))) if 0 < share < 1 else -40.0)
+        share = docs.select("doc_id").join(F.broadcast(chosen), "doc_id").agg(F.avg("toxic")).first()[0] or 0.0
+        return Model([], np.zeros(2), float(np.log(share / (1 - share))) if 0 < share < 1 else -40.0), None
+    found = lexicon_hits(docs, lexicon)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voters, total = Voters(lexicon), Counter()
+        total = Counter()
         for batch in batches:
-            for part in slices(batch, 1024):
-                total.update(encode(voters.votes(voters.hits(t))) for t in part.column(0).to_pylist())
+            total.update(encode(Voters.votes(h)) for h in _hits(batch, 0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total.keys()), pa.int64()), pa.array(list(total.values()), pa.int64())], ["pattern", "n"])
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voters = Voters(lexicon)
-        for batch in batches:
-            hits = [voters.hits(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array([h[0] for h in hits], pa.list_(pa.int32())),
-                 pa.array([h[1] for h in hits], pa.int32()), pa.array([h[2] for h in hits], pa.int32())],
-                ["toxic", "stems", "words", "length"])
-
-    free = {r.pattern: float(r.n) for r in docs.select("text").mapInArrow(count, "pattern long, n long")
+    free = {r.pattern: float(r.n) for r in found.select("stems", "words", "length").mapInArrow(count, "pattern long, n long")
             .groupBy("pattern").agg(F.sum("n").alias("n")).collect()}
-    seen = [((r.stems, r.words, r.length), r.toxic > 0) for r in labelled.select("text", "toxic").mapInArrow(
-        look, "toxic int, stems array<int>, words int, length int").collect()]
+    seen = [((r.stems, r.words, r.length), r.toxic > 0) for r in found.join(F.broadcast(chosen), "doc_id").collect()]
     patterns = [encode(Voters.votes(h)) for h, _ in seen]
     known = {k: float(v) for k, v in Counter(zip(patterns, (int(y) for _, y in seen))).items()}
     for (pattern, _), n in known.items():
@@ -285,7 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     for row, (hit, _) in enumerate(seen):
         x[row, hit[0]] = 1
         x[row, -2:] = Model.extra(hit[1], hit[2])
-    return Model(lexicon, *logistic(x, target))
+    return Model(lexicon, *logistic(x, target)), found
 
 
 def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
@@ -296,27 +323,31 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame
     0; if both are there but no stem parts them, it is the toxic share of the labels. Rows that repeat
     give repeated rows, a null id is held out, and an empty table gives no rows.
     """
+    model, found = fit_and_hits(docs, labels, rows)
+    if found is None:
+        found = docs.select("doc_id", F.array().cast("array<int>").alias("stems"), F.lit(0).alias("words"), F.lit(0).alias("length"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    out = _scored(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"),
-                  fit(docs, labels, rows), f"doc_id {id_type}, held_out boolean")
-    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
-
-def _scored(docs: DataFrame, model: Model, kept: str) -> DataFrame:
-    """``docs`` with the last column, the text, replaced by its score."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voters = Voters(model.lexicon)
         for batch in batches:
-            for part in slices(batch, 1024):
-                scores = [model.score(voters.hits(t)) for t in part.column(part.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(scores, pa.float64())], [*part.schema.names[:-1], "score"])
+            scores = [model.score(h) for h in _hits(batch, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
-    return docs.mapInArrow(run, f"{kept}, score double")
+    return found.mapInArrow(run, f"doc_id {id_type}, score double").select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def clean(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of ``docs`` whose text scores below 0.5, with all columns."""
+    """The rows of ``docs`` whose text scores below 0.5, with all columns; rows are scored where they are read."""
+    model = fit(docs, labels, rows)
     kept = docs.schema.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voters = Voters(model.lexicon)
+        for batch in batches:
+            for part in slices(batch, 1024):
+                scores = np.array([model.score(voters.hits(t)) for t in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(0)], ["row"]).filter(pa.array(scores < 0.5))
+
     packed = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return _scored(packed, fit(docs, labels, rows), f"row {kept}").filter("score < 0.5").select("row.*")
+    return packed.mapInArrow(run, f"row {kept}").select("row.*")
