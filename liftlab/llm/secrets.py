@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +23,45 @@ BARE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9][A-Za-z+/_-]*[0-9])(?=[A-Z0-9
 #: What every text with a candidate matches.
 HINT = (r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|"
         r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20}")
-#: A value held by more owners than this is a widely copied example.
+#: A value held by more owners, or in more repositories of however few owners, is a widely copied example.
 MOST_OWNERS = 2
+MOST_REPOSITORIES = 20
+#: Elements that a running sum walks over at a time; what is longer is cut, and the sums of the parts are walked over.
+WALK = 256
+#: Code points of the blocks that a text is cut into before spans are taken out of it.
+TEXT_BLOCK = 4096
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, add: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """What ``add`` makes of each number and all before it, for arrays of up to ``WALK`` to the power of ``levels`` + 1.
+
+    A walk that appends to an array copies it at every step, so only short parts are walked over.
+    """
+    def walk(a: Column) -> Column:
+        start = F.struct(F.lit(None).cast("int").alias("last"), F.array().cast("array<int>").alias("out"))
+
+        def step(state: Column, x: Column) -> Column:
+            now = F.when(state["last"].isNull(), x).otherwise(add(state["last"], x))
+            return F.struct(now.alias("last"), F.concat(state["out"], F.array(now)).alias("out"))
+
+        return F.aggregate(a, start, step)["out"]
+
+    def cut(a: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.call_function("div", F.size(a) - 1, F.lit(WALK)).cast("int")),
+                            lambda k: walk(F.slice(a, k * WALK + 1, WALK)))
+        return _let(parts, lambda p: _let(
+            _running(F.transform(p, lambda x: F.element_at(x, -1)), add, levels - 1),
+            lambda ends: F.flatten(F.transform(p, lambda x, k: F.when(k == 0, x).otherwise(
+                F.transform(x, lambda y: add(F.get(ends, k - 1), y)))))))
+
+    if not levels:
+        return walk(values)
+    return _let(values, lambda a: F.when(F.size(a) <= WALK, walk(a)).otherwise(cut(a)))
 
 
 def _matches(text: Column, pattern: str, kind: int, value: Column | None = None) -> Column:
@@ -33,16 +72,13 @@ def _matches(text: Column, pattern: str, kind: int, value: Column | None = None)
                           (whole if value is None else value).alias("value"))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["piece"])
-        end = start + F.length(x["match"])
-        found = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(F.coalesce(end, start).alias("at"),
-                        F.when(x["match"].isNull(), state["found"])
-                        .otherwise(F.concat(state["found"], F.array(found))).alias("found"))
+    def placed(rows: Column) -> Column:
+        ends = _running(F.transform(rows, lambda x: F.length(x["piece"]) + F.length(x["match"])), lambda x, y: x + y)
+        return F.zip_with(rows, ends, lambda x, end: F.struct(
+            (end - F.length(x["match"])).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["value"].alias("value")))
 
-    walked = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), empty.alias("found")), step)
-    return F.when(F.size(whole) > 0, walked["found"]).otherwise(empty)
+    # the piece after the last match has none
+    return F.when(F.size(whole) > 0, _let(F.filter(zipped, lambda x: x["match"].isNotNull()), placed)).otherwise(empty)
 
 
 def candidates(text: Column) -> Column:
@@ -56,7 +92,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
     """(row, spans) of the rows that hold a candidate, written once; ``row`` packs all columns.
 
     Each span has start, kind, end (code points, end exclusive) and live: whether its value is held
-    by at most ``MOST_OWNERS`` owners. Values travel as SHA-256 hashes. They are counted per
+    by at most ``MOST_OWNERS`` owners and in at most ``MOST_REPOSITORIES`` repositories. Values travel as SHA-256 hashes. They are counted per
     (value, owner, repository), then per (value, owner), then per value, so a value that a third of
     all rows hold is summed before each shuffle. A null owner or repository counts as one of its own.
     """
@@ -75,7 +111,8 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
                         F.explode("spans").alias("span"))
     owners = ownership(each.select("span.value", "owner", "repository"))
     judged = each.join(owners, F.col("span.value") == owners["value"]).select(
-        "n", F.struct("span.start", "span.kind", "span.end", (F.col("owners") <= MOST_OWNERS).alias("live"),
+        "n", F.struct("span.start", "span.kind", "span.end", 
+                      ((F.col("owners") <= MOST_OWNERS) & (F.col("repositories") <= MOST_REPOSITORIES)).alias("live"),
                       "owners", "repositories").alias("span"))
     return found.select("n", "row").join(
         judged.groupBy("n").agg(F.array_sort(F.collect_list("span")).alias("spans")), "n").drop("n")
@@ -98,8 +135,8 @@ def report(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -
     """One row per document: counts and digest of its base spans, all spans, and what ownership says.
 
     All base spans are listed. A bare key-like word is added as ``owned`` if it is owner-specific.
-    ``n_live`` counts listed spans whose value few owners hold, ``n_copied`` the widely copied
-    examples. Null and empty texts hold no span. Repeated rows give repeated rows, and a null
+    ``n_live`` counts listed spans whose value few owners hold in few repositories, ``n_copied`` the widely copied
+    examples; ``owners`` and ``repositories`` list how many hold the value of each listed span. Null and empty texts hold no span. Repeated rows give repeated rows, and a null
     doc_id stays null. An empty table gives no rows.
     """
     spans = F.col("spans")
@@ -113,7 +150,8 @@ def report(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -
         "doc_id", *[count(k).alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(_listed(base), 256).alias("base_sha256"), _listed(kept).alias("spans"),
         F.size(F.filter(kept, lambda s: s["live"])).cast("long").alias("n_live"),
-        F.size(F.filter(kept, lambda s: ~s["live"])).cast("long").alias("n_copied"))
+        F.size(F.filter(kept, lambda s: ~s["live"])).cast("long").alias("n_copied"),
+        *[F.array_join(F.transform(kept, lambda s: s[c].cast("string")), ",").alias(c) for c in ("owners", "repositories")])
 
 
 def _free(docs: DataFrame, owner: str, repository: str) -> DataFrame:
@@ -129,15 +167,28 @@ def redact(docs: DataFrame, mask: str = "<secret>", owner: str = "source", repos
     """
     text = F.col("row.text")
 
-    def step(state: Column, s: Column) -> Column:
-        start, end = F.greatest(s["start"], state["at"]), F.greatest(s["end"], state["at"])
-        gap = F.substr(text, state["at"] + 1, start - state["at"])
-        part = F.when(s["start"] < state["at"], F.lit("")).otherwise(F.concat(gap, F.lit(mask)))
-        return F.struct(end.alias("at"), F.concat(state["out"], part).alias("out"))
+    def taken(blocks: Column, start: Column, length: Column) -> Column:
+        first = F.call_function("div", start, F.lit(TEXT_BLOCK)).cast("int")
+        last = F.call_function("div", start + length, F.lit(TEXT_BLOCK)).cast("int")
+        near = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+        return F.substr(near, start - first * TEXT_BLOCK + 1, length)
+
+    def masked(blocks: Column) -> Column:
+        def with_ends(ends: Column) -> Column:
+            def piece(s: Column, i: Column) -> Column:
+                before = F.coalesce(F.get(ends, i - 1), F.lit(0))
+                gap = s["start"] - before
+                return F.when(gap < 0, "").otherwise(F.concat(taken(blocks, before, F.greatest(gap, F.lit(0))), F.lit(mask)))
+
+            last = F.coalesce(F.element_at(ends, -1), F.lit(0))
+            return F.concat(F.array_join(F.transform(live, piece), ""), taken(blocks, last, F.length(text) - last))
+
+        # where the spans up to each one end
+        return F.when(F.size(live) == 0, text).otherwise(
+            _let(_running(F.transform(live, lambda s: s["end"]), lambda x, y: F.greatest(x, y)), with_ends))
 
     live = F.filter("spans", lambda s: s["live"])
-    walked = F.aggregate(live, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    new = F.concat(walked["out"], F.substr(text, walked["at"] + 1, F.length(text)))
+    new = _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0)), masked)
     held = scan(docs, owner, repository).select("row", new.alias("text"))
     changed = {"text": F.col("text")} | ({"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
                                          if "n_chars" in docs.columns else {})
