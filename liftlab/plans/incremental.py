@@ -7,12 +7,16 @@ numbers of the batches it merged: a run that is lost leaves the last version as
 same batches. The result equals that of a whole rebuild over all deliveries.
 
 An event is found again by its id, which says nothing about the user it was delivered for before. ``silver/event_users``,
-cut by event, keeps that user, so that a correction that moves an event to another user takes it away from the first.
+cut by event, keeps every user an event was delivered for, so that a correction that moves an event to another user takes
+it away from the first.
+
+New rows are one per key before they are merged. So a table without a past takes them as they are, and stored rows are
+brought together with a few new ones by a broadcast of the new keys; only many new keys shuffle the touched buckets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import asdict
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -30,6 +34,8 @@ from liftlab.sources import files, versions
 from liftlab.streaming import ingest
 
 BUCKETS = 64
+#: Most new rows whose keys are sent to the stored rows; above it both sides are shuffled by key. Results are the same.
+FEW_ROWS = 500_000
 
 
 class Run:
@@ -76,9 +82,22 @@ class Run:
         return self.now.read(name, touched)
 
     def _upsert(self, name: str, changed: DataFrame, keys: list[str], bucket_key: str, touched: list[int]) -> DataFrame:
-        merged = dedup.latest(self._old(name, changed, touched).unionByName(changed), keys, list(silver.ARRIVAL))
+        """Merge new rows, one per key, into the touched buckets; of a stored and a new row of one key the later arrival stays."""
+        merged = changed
+        if self.before.has(name):
+            merged = self._merged(self.before.read(name, touched), changed, keys,
+                                  lambda rows: dedup.latest(rows, keys, list(silver.ARRIVAL)))
         return self._bucketed(name, merged, bucket_key, touched)
 
+    @staticmethod
+    def _merged(old: DataFrame, changed: DataFrame, keys: list[str], reduced: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """``reduced`` over old and new rows; old rows that share no key with a new one are reduced already."""
+        if changed.count() > FEW_ROWS:
+            return reduced(old.unionByName(changed))
+        new = F.broadcast(changed.select(*keys))
+        met = old.join(new, keys, "left_semi").select(*old.columns).unionByName(changed)
+        return old.join(new, keys, "left_anti").select(*old.columns).unionByName(reduced(met))
+
     # ------------------------------------------------------------ steps
     def ingest(self) -> None:
         for query in [ingest.to_batches(self.spark, feed, self.base, self._counted(feed)) for feed in self.feeds.all()]:
@@ -122,15 +141,16 @@ class Run:
         if new is None:
             return None
         changed = session.written(silver.events(new, self.settings.launch), "changed-events")
-        ids = changed.select("event_id")
+        pairs = changed.select("event_id", "user_id")
         home = self._touched(changed, "event_id")
-        known = self._old("silver/event_users", changed.select("event_id", "user_id"), home)
-        earlier = known.join(ids, "event_id", "left_semi")
-        users = session.written(
-            changed.select("user_id").union(earlier.select("user_id")).distinct(), "event-users")
-        rows = self._upsert("silver/events", changed, ["event_id"], "user_id", self._touched(users, "user_id"))
-        owners = rows.join(ids, "event_id", "left_semi").select("event_id", "user_id")
-        self._bucketed("silver/event_users", known.join(ids, "event_id", "left_anti").unionByName(owners), "event_id", home)
+        touched, known = changed.select("user_id"), pairs
+        if self.before.has("silver/event_users"):
+            stored = self.before.read("silver/event_users", home)
+            touched = touched.union(stored.join(changed.select("event_id"), "event_id", "left_semi").select("user_id"))
+            known = self._merged(stored, pairs, ["event_id"], DataFrame.distinct)
+        users = session.written(touched.distinct(), "event-users")
+        self._upsert("silver/events", changed, ["event_id"], "user_id", self._touched(users, "user_id"))
+        self._bucketed("silver/event_users", known, "event_id", home)
         return users
 
     def merge_catalog(self) -> None:
@@ -144,16 +164,20 @@ class Run:
         """Feature rows of the touched users, and what they add to the experiments' counts."""
         users = session.written(touched_users.distinct(), "touched-users")
         buckets = self._touched(users, "user_id")
-        parts = [self.now.read(f"silver/{n}", buckets).join(users, "user_id", "left_semi")
-                 for n in ("users", "events", "assignments")]
-        fresh = session.written(features.user_features(*parts, self.settings), "fresh-features")
-        old = self._old("gold/user_features", fresh, buckets)
-        self._bucketed("gold/user_features", old.join(users, "user_id", "left_anti").unionByName(fresh), "user_id", buckets)
-        counted = [experiments.counts(fresh, self.settings),
-                   experiments.counts(old.join(users, "user_id", "left_semi"), self.settings).selectExpr(
-                       "product", "variant", "-users AS users", "-adopters AS adopters")]
-        if self.before.has("gold/experiment_counts"):
-            counted.append(self.before.read("gold/experiment_counts"))
+        parts = [self.now.read(f"silver/{n}", buckets) for n in ("users", "events", "assignments")]
+        if not self.before.has("gold/user_features"):
+            # nothing is older than this run, so its users are all there are
+            counted = [experiments.counts(self._bucketed(
+                "gold/user_features", features.user_features(*parts, self.settings), "user_id", buckets), self.settings)]
+        else:
+            mine = [part.join(users, "user_id", "left_semi") for part in parts]
+            fresh = session.written(features.user_features(*mine, self.settings), "fresh-features")
+            old = self.before.read("gold/user_features", buckets)
+            self._bucketed("gold/user_features", old.join(users, "user_id", "left_anti").unionByName(fresh), "user_id", buckets)
+            counted = [experiments.counts(fresh, self.settings),
+                       experiments.counts(old.join(users, "user_id", "left_semi"), self.settings).selectExpr(
+                           "product", "variant", "-users AS users", "-adopters AS adopters"),
+                       self.before.read("gold/experiment_counts")]
         total = counted[0]
         for more in counted[1:]:
             total = total.unionByName(more)
