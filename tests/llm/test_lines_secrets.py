@@ -1,12 +1,16 @@
 """Line dedup and the secret scan against brute force, and their plans."""
 
 import hashlib
+import os
+import pathlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
 
+from liftlab import session
 from liftlab.llm import lines, secrets
 from tests.llm import data
 
@@ -67,6 +71,55 @@ def test_lines_clean_keeps_columns(spark):
     assert lines.clean(awkward).count() == awkward.count()
 
 
+def changed_copies(n):
+    """``n`` lines, all but one word of each from one base."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(40)]
+    return [(i, " ".join([f"new{rng.randrange(10 ** 9)}" if k == i % 40 else w for k, w in enumerate(base)])) for i in range(n)]
+
+
+def test_lines_group_of_near_copies_is_not_compared_in_pairs(spark, monkeypatch):
+    seen, verify = [], lines._verified
+
+    def counted(pairs, *rest):
+        seen[-1] += pairs.count()
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(lines, "_verified", counted)
+    for n in (100, 400):
+        seen.append(0)
+        assert sum(r.n_removed for r in lines.report(data.plain(spark, changed_copies(n))).collect()) == n - 1
+    assert seen[0] <= 200 and seen[1] <= 5 * seen[0]
+
+
+def test_long_lines_are_told_apart_by_the_filters(spark):
+    """Two unlike lines of 150 tokens: 64 parities can't tell that they differ in more than 33, 128 can."""
+    rng = random.Random(8)
+    found = data.plain(spark, [(i, " ".join(f"t{rng.randrange(10 ** 9)}" for _ in range(150))) for i in range(60)])
+    got = lines.sets(found, lines.rarity(found, 1 << 8), 0.8, 1 << 8)
+    pairs = got.alias("a").join(got.alias("b"), lines._before("a", "b"))
+    assert pairs.count() == 60 * 59 // 2 and pairs.filter(lines._near("a", "b", 0.8)).isEmpty()
+
+
+def test_lines_leave_only_their_result_in_the_scratch_folder(spark):
+    root = pathlib.Path(session.scratch_root(spark).removeprefix("file:"))
+    before = set(os.listdir(root))
+    assert lines.report(data.plain(spark, near_copies())).count() == 150
+    left = {x.rpartition("-")[0] for x in set(os.listdir(root)) - before}
+    assert left <= {"line-removed", "array"}
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    blocks = lambda: {b.toString() for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()) if "shuffle" in b.toString()}
+    before = blocks()
+    assert len(session.written(spark.range(1000).repartition(7, "id").groupBy("id").count(), "counts").collect()) == 1000
+    deadline = time.time() + 20
+    while blocks() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not blocks() - before
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
