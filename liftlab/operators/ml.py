@@ -28,15 +28,17 @@ NUMBERS = ("account_balance_usd", "events_total", "trades_total", "logins_total"
 RUN_SCHEMA = ("product STRING, version INT, trees INT, depth INT, rate DOUBLE, seed INT, n_features INT, "
               "n_train BIGINT, roc_auc DOUBLE, avg_precision DOUBLE, accuracy DOUBLE, base_rate DOUBLE, "
               "finished_at TIMESTAMP")
-# Rows of a training partition: enough for a task to be worth its start.
-_ROWS_A_TASK = 50_000
+# Rows of a training partition. Each level of each tree is a job of one task per partition and, after its shuffle, as many
+# again that hold next to nothing; so few large ones, whose rows still fit many times into an executor.
+_ROWS_A_TASK = 250_000
 
 
 @dataclass(frozen=True)
 class TrainConfig:
     """max_training_rows: upper bound, in expectation, of the labelled rows that a model is fitted
-    on. Boosting is a chain of jobs over them; above the bound a share of the users is taken by a
-    hash of the key. Scores, holdout metrics of the users left and base rates cover all users.
+    on, None for all of them. Boosting is a chain of jobs over them; above a bound a share of the
+    users is taken by a hash of the key. Scores, holdout metrics of the users left and base rates
+    cover all users.
     """
 
     trees: int = 200
@@ -44,7 +46,7 @@ class TrainConfig:
     rate: float = 0.1
     test_share: float = 0.2
     seed: int = 42
-    max_training_rows: int = 2_000_000
+    max_training_rows: int | None = None
 
 
 def number_columns(products: Sequence[str]) -> list[str]:
@@ -147,6 +149,10 @@ def vectors(features: DataFrame, products: Sequence[str]) -> tuple[PipelineModel
     return model, model.transform(cleaned)
 
 
+def _training_partitions(rows: float) -> int:
+    return math.ceil(rows / _ROWS_A_TASK) or 1
+
+
 def fit_one(train: DataFrame, label: str, config: TrainConfig) -> GBTClassificationModel:
     return GBTClassifier(featuresCol="features", labelCol=label, maxIter=config.trees,
                          maxDepth=config.depth, stepSize=config.rate, seed=config.seed,
@@ -164,10 +170,10 @@ def fit_all(features: DataFrame, products: Sequence[str], config: TrainConfig =
         numeric.round_half_up(F.count_if(F.col(label) == 1) / F.count(label), 6).alias(p)
         for p, label in zip(products, labels)]).first().asDict()
     n = seen.pop("n")
-    share = min(1.0, config.max_training_rows / max(n, 1))
+    share = 1.0 if config.max_training_rows is None else min(1.0, config.max_training_rows / max(n, 1))
     chosen = data if share == 1.0 else data.where(
         F.pmod(F.xxhash64(F.lit(config.seed), "user_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
-    sample = chosen.repartition(math.ceil(n * share / _ROWS_A_TASK) or 1, "user_id") \
+    sample = chosen.repartition(_training_partitions(n * share), "user_id") \
         .persist(StorageLevel.MEMORY_AND_DISK)
 
     def train(label: str) -> GBTClassificationModel:

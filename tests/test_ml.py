@@ -61,6 +61,17 @@ def test_bound_on_training_rows_leaves_scores_and_holdout_whole(features, traine
     assert small.base_rates == trained.base_rates
 
 
+def test_without_a_bound_all_rows_are_fitted_on_in_few_tasks(features):
+    many = features.where("user_id < 1000").crossJoin(features.sparkSession.range(2010).withColumnRenamed("id", "copy")) \
+        .withColumn("user_id", F.col("user_id") + 1_000_000 * F.col("copy")).drop("copy")
+    whole = ml.fit_all(many, PRODUCTS, ml.TrainConfig(trees=1, depth=1))
+    split = ml.stratified_split(many, "adopted_crypto", "user_id")
+    assert whole.n_train["crypto"] == split.where("NOT is_test").count()
+    assert whole.n_train["crypto"] + whole.holdout.count() == 2_010_000
+    # a level of a tree starts two tasks per partition
+    assert [ml._training_partitions(n) for n in (0, 1, 900_000, 5_400_000)] == [1, 1, 4, 22]
+
+
 def test_leaking_columns_are_refused():
     for column in ("variant_crypto", "adopted_crypto"):
         with pytest.raises(ValueError):
