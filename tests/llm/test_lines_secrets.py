@@ -101,6 +101,22 @@ def test_long_lines_are_told_apart_by_the_filters(spark):
     assert pairs.count() == 60 * 59 // 2 and pairs.filter(lines._near("a", "b", 0.8)).isEmpty()
 
 
+def test_lines_are_split_into_tokens_once(spark):
+    """A filter on the tokens is moved below the step that makes them, which then makes them twice."""
+    found = data.plain(spark, near_copies())
+    plan = lines.sets(found, lines.rarity(found, 1 << 8), 0.8, 1 << 8)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct") == 1
+
+
+def test_lines_with_any_white_space_between_tokens(spark):
+    apart = [" ", "  ", "\t", "\v", "\f", "\r", " \t ", "\r "]
+    words = [f"w{i}" for i in range(9)]
+    rows = [(0, " ".join(words))] + [(1 + i, f"{x}{x.join(words)}{x}\n{x}") for i, x in enumerate(apart)] + [
+        (20, "\u00a0".join(words)), (21, "\n \n\t\n"), (22, "")]
+    got = {r.doc_id: (r.n_lines, r.removed) for r in lines.report(data.plain(spark, rows)).collect()}
+    assert got == {0: (1, ""), **{1 + i: (2, "0") for i in range(len(apart))}, 20: (1, ""), 21: (4, ""), 22: (1, "")}
+
+
 def test_lines_leave_only_their_result_in_the_scratch_folder(spark):
     root = pathlib.Path(session.scratch_root(spark).removeprefix("file:"))
     before = set(os.listdir(root))
