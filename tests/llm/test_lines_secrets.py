@@ -8,6 +8,7 @@ import re
 import time
 from collections import Counter, defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 
 from liftlab import session
@@ -108,6 +109,37 @@ def test_lines_are_split_into_tokens_once(spark):
     assert plan.count("array_distinct") == 1
 
 
+def test_token_names_are_sorted_as_plain_longs(spark):
+    """An array that may hold nulls is sorted by comparing boxed values."""
+    found = data.plain(spark, near_copies())
+    got = lines.sets(found, lines.rarity(found, 1 << 8), 0.8, 1 << 8)
+    assert not got.schema["prefix"].dataType.containsNull
+    assert all(list(r.prefix) == sorted(r.prefix) and r.n >= len(set(r.prefix)) == len(r.prefix) for r in got.collect())
+
+
+def test_only_texts_with_a_likely_line_are_split_again(spark, monkeypatch):
+    seen, split = [], lines._split
+
+    def counted(docs):
+        seen.append(docs.count())
+        return split(docs)
+
+    monkeypatch.setattr(lines, "_split", counted)
+    rng = random.Random(4)
+    found = [(i, " ".join(f"u{rng.randrange(10 ** 9)}" for _ in range(30))) for i in range(300)]
+    found += [(300, found[7][1] + " more"), (301, found[8][1] + " more")]
+    assert {r.doc_id for r in lines.report(data.plain(spark, found)).collect() if r.n_removed} == {300, 301}
+    assert sorted(seen)[-1] == 302 and sorted(seen)[-2] < 100
+
+
+def test_scratch_options_reach_the_writer(spark):
+    with session.Scratch(spark, **{"parquet.enable.dictionary": "false"}) as scratch:
+        table = scratch.written(spark.range(1000).selectExpr("id % 3 as k"), "plain")
+        files = list(pathlib.Path(scratch._paths[table].removeprefix("file:")).glob("*.parquet"))
+        kept = [pq.ParquetFile(f).metadata.row_group(0).column(0) for f in files if pq.ParquetFile(f).metadata.num_rows]
+        assert kept and not any(c.has_dictionary_page for c in kept)
+
+
 def test_lines_with_any_white_space_between_tokens(spark):
     apart = [" ", "  ", "\t", "\v", "\f", "\r", " \t ", "\r "]
     words = [f"w{i}" for i in range(9)]
